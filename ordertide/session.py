@@ -44,15 +44,20 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def streaming_session(
+    spark: SparkSession, state_partitions: int | None = None, idle_batches: bool = True
+) -> SparkSession:
     """A session for stateful queries whose number of state partitions is chosen, not inherited.
 
     The number is fixed for the life of a checkpoint, so it should follow the cluster's cores and
-    not the shuffle setting that happens to be in force.
+    not the shuffle setting that happens to be in force. ``idle_batches`` are micro-batches without
+    data: they close windows once the watermark has passed. State with a processing-time TTL asks
+    for them without end, so a TTL query that is to stop when its data is done must forgo them.
     """
     session = spark.newSession()
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

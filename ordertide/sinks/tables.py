@@ -23,6 +23,11 @@ def write_files(
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def write_rollup(rollup: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The minute roll-up, partitioned by hour."""
-    write_files(with_hour(rollup), path, ["hour"], mode=mode)
+def write_rollup(rollup: DataFrame, path: str, mode: str = "overwrite", tasks: int | None = None) -> None:
+    """The minute roll-up, partitioned by hour, with one file per hour.
+
+    An hour holds at most 60 rows per combination of dimensions however many orders it had, so no
+    hour is too large for the task that writes it.
+    """
+    tasks = tasks or rollup.sparkSession.sparkContext.defaultParallelism
+    write_files(with_hour(rollup).repartition(tasks, "hour"), path, ["hour"], mode=mode)

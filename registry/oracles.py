@@ -162,7 +162,7 @@ DAY_ROWS = "minute_ts >= TIMESTAMP '2024-01-15 16:00:00' AND minute_ts < TIMESTA
 HOURLY_TXN = _with(
     *ALL_TXN, TXN_ROLLUP,
     f"""SELECT date_trunc('hour', minute_ts) AS hour_ts, country, CAST(sum("count") AS DOUBLE) AS "count",
-       round(sum(gmv), 4) AS gmv, round(sum(gmv_usd), 4) AS gmv_usd
+       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd
 FROM txn_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
 )
 
@@ -386,13 +386,13 @@ WHERE NOT EXISTS (SELECT 1 FROM paid p WHERE p.event_time < {SEEN_MS}
     ),
     "rollup_minute_txn": _with(
         *ALL_TXN, TXN_ROLLUP,
-        """SELECT minute_ts, country, "count", round(gmv, 4) AS gmv, round(gmv_usd, 4) AS gmv_usd FROM txn_rollup""",
+        """SELECT minute_ts, country, "count", floor(gmv * 10000 + 0.123456789) / 10000 AS gmv, floor(gmv_usd * 10000 + 0.123456789) / 10000 AS gmv_usd FROM txn_rollup""",
     ),
     "rollup_minute_user": _with(*ALL_VISITS, USER_ROLLUP, "SELECT * FROM user_rollup"),
     "rollup_late_rejected": _with(
         *ALL_TXN,
         f"""SELECT {MINUTE} AS minute_ts, country, count(*) AS "count",
-       round(sum(gmv), 4) AS gmv, round(sum(gmv_usd), 4) AS gmv_usd
+       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd
 FROM all_txn WHERE event_time >= {AS_OF} - 3600000 GROUP BY 1, 2""",
     ),
     "hourly_country_txn": HOURLY_TXN,
@@ -404,7 +404,7 @@ FROM user_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
     ),
     "total_country_txn": _with(
         *ALL_TXN, TXN_ROLLUP,
-        """SELECT country, round(sum(gmv), 4) AS gmv_sum, round(sum(gmv_usd), 4) AS gmv_usd_sum,
+        """SELECT country, floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv_sum, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd_sum,
        CAST(sum("count") AS BIGINT) AS order_count FROM txn_rollup GROUP BY 1""",
     ),
     "total_country_user": _with(
@@ -414,7 +414,7 @@ FROM user_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
     "rollup_hour_country": _with(
         *ALL_TXN, TXN_ROLLUP,
         """SELECT date_trunc('hour', minute_ts) AS "hour", country, CAST(sum("count") AS BIGINT) AS "count",
-       round(sum(gmv), 4) AS gmv, round(sum(gmv_usd), 4) AS gmv_usd FROM txn_rollup GROUP BY 1, 2""",
+       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd FROM txn_rollup GROUP BY 1, 2""",
     ),
     "encode_round_trip": _with(
         *ALL_TXN,

@@ -376,8 +376,9 @@ def txn_sql_job(spark, sf):
 
 
 def _money(df, *columns):
-    """Sums of doubles depend on their order in the last digits, so they are compared rounded."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    """Sums of doubles depend on their order in the last digits, so they are compared in steps of
+    0.0001. The steps begin off the decimal grid, where no sum of the data's decimals lies."""
+    return df.withColumns({c: F.floor(F.col(c) * 10000 + 0.123456789) / 10000 for c in columns})
 
 
 def rollup_minute_txn(spark, sf):
@@ -589,7 +590,7 @@ def stream_dedup_forever(spark, sf):
 
 
 def stream_dedup_ttl(spark, sf):
-    rows = _stream_txn(streaming_session(spark), sf)
+    rows = _stream_txn(streaming_session(spark, idle_batches=False), sf)
     return drain_to_table(stream_dedup.with_ttl(rows, ["country", "order_id"], order_by="offset"), "dedup-ttl")
 
 
@@ -629,7 +630,7 @@ def stream_txn_user_job(spark, sf):
 
 
 def stream_txn_ttl_job(spark, sf):
-    session = streaming_session(spark)
+    session = streaming_session(spark, idle_batches=False)
     records = feed.as_records(_stream_orders(session, sf))
     rates = RateSnapshot(lambda: _rates(session, sf))
 
