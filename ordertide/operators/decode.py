@@ -31,16 +31,17 @@ FALLBACK_ORDER = {
 }
 
 _CORRUPT = "_corrupt"
-# Leaves are read as text: a number given as text is legal, and a typed leaf would reject it.
-_WIRE_SCHEMA = (
-    ", ".join(f"{name} STRING" for name in ORDER_FIELDS)
-    + f", event STRUCT<database: STRING>, {_CORRUPT} STRING"
-)
+_CORRUPT_OPTION = {"columnNameOfCorruptRecord": _CORRUPT}
+_EVENT = f"event STRUCT<database: STRING>, {_CORRUPT} STRING"
+# Typed leaves are fast to parse but reject what is legal here, such as a number given as text.
+_TYPED_SCHEMA = ", ".join(f"{name} {kind}" for name, (kind, _) in ORDER_FIELDS.items()) + f", {_EVENT}"
+# Text leaves accept everything; the casts are then made by the rules of this module.
+_TEXT_SCHEMA = ", ".join(f"{name} STRING" for name in ORDER_FIELDS) + f", {_EVENT}"
 
 
 def _number(text: Column, kind: str) -> tuple[Column, Column]:
     """(value, whether the text is no number). Blank text is absent; fractions are cut for BIGINT."""
-    text = F.nullif(F.trim(text), F.lit(""))
+    text = F.when(F.trim(text) != "", F.trim(text))
     value = text.try_cast(kind)
     if kind == "bigint":
         value = F.coalesce(value, text.try_cast("double").try_cast("bigint"))
@@ -56,12 +57,24 @@ def _once(df: DataFrame, expression: Column, name: str, *keep: str) -> DataFrame
     return df.select(*keep, F.explode(F.array(expression)).alias(name))
 
 
-def with_envelope(df: DataFrame, value: str = "value") -> DataFrame:
-    """Parse ``value`` once into a struct ``j``; add ``parse_bad`` and the record's ``database``."""
-    parsed = F.from_json(F.col(value), _WIRE_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
-    bad = F.col("j").isNull() | F.col(f"j.{_CORRUPT}").isNotNull()
-    df = _once(df, parsed, "j", *[c for c in df.columns if c != value])
-    return df.withColumns({"parse_bad": bad, "database": F.when(~bad, F.col("j.event.database"))})
+def _parsed(df: DataFrame, value: str, *keep: str) -> DataFrame:
+    """``keep`` and the record's two readings: ``typed``, and ``text`` where ``typed`` rejected it.
+
+    Nearly all records have the declared types, so nearly all are parsed once, without a cast.
+    """
+    typed = F.from_json(F.col(value), _TYPED_SCHEMA, _CORRUPT_OPTION)
+    text = F.from_json(F.col(value), _TEXT_SCHEMA, _CORRUPT_OPTION)
+    readings = F.transform(
+        F.array(typed),
+        lambda t: F.struct(
+            F.when(_intact(t), t).alias("typed"), F.when(~_intact(t), text).alias("text")
+        ),
+    )
+    return df.select(*keep, F.explode(readings).alias("r")).select(*keep, "r.typed", "r.text")
+
+
+def _intact(record: Column) -> Column:
+    return record.isNotNull() & record[_CORRUPT].isNull()
 
 
 def decode_orders(
@@ -83,19 +96,20 @@ def decode_orders(
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    df = with_envelope(df.select(*keep, value), value)
-    fields, bad_casts = {}, []
+    df = _parsed(df, value, *keep)
+    typed, text = F.col("typed"), F.col("text")
+    fields, cast_bad = {}, F.lit(False)
     for name, (kind, default) in ORDER_FIELDS.items():
-        leaf = F.col(f"j.{name}")
+        leaf = text[name]
         if kind != "string":
             leaf, bad = _number(leaf, kind)
-            bad_casts.append(bad)
-        fields[name] = F.coalesce(leaf, F.lit(default).cast(kind))
-    routed = F.coalesce(F.col("database") == database, F.lit(False))
-    cast_bad = bad_casts[0]
-    for bad in bad_casts[1:]:
-        cast_bad = cast_bad | bad
-    is_bad = F.col("parse_bad") | (routed & cast_bad)
+            cast_bad = cast_bad | bad
+        fields[name] = F.coalesce(F.when(typed.isNotNull(), typed[name]).otherwise(leaf), F.lit(default).cast(kind))
+    database_name = F.coalesce(typed.event.database, text.event.database)
+    parse_bad = typed.isNull() & ~_intact(text)
+    routed = F.coalesce(~parse_bad & (database_name == database), F.lit(False))
+    cast_bad = typed.isNull() & cast_bad
+    is_bad = parse_bad | (routed & cast_bad)
 
     if observe:
         df = df.observe(
@@ -126,9 +140,9 @@ def decode_fields(
     are converted.
     """
     schema = ", ".join(f"`{name}` STRING" for name in fields) + f", {_CORRUPT} STRING"
-    parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = F.from_json(F.col(value), schema, _CORRUPT_OPTION)
     df = _once(df, parsed, "j", *keep)
-    ok = F.col("j").isNotNull() & F.col(f"j.{_CORRUPT}").isNull()
+    ok = _intact(F.col("j"))
     out = []
     for name, (kind, default) in fields.items():
         leaf = F.col(f"j.`{name}`")
