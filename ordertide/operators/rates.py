@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import DEFAULT_TZ, event_date, now_millis
-from ordertide.session import fits
+from ordertide.session import fits, settle
 
 BROADCAST_ROWS = 500_000
 
@@ -62,6 +62,11 @@ def lookup(
     return joined.drop("__salt", "__copy", *[f"__k{i}" for i in range(len(keys))])
 
 
+def prepare_rates(rates: DataFrame, tolerance_days: int = 1, version: str | None = None) -> DataFrame:
+    """Effective rates, computed once into the shared folder (see ``settle``)."""
+    return settle(effective_rates(rates, tolerance_days, version), "rates")
+
+
 def lookup_asof(
     df: DataFrame,
     rates: DataFrame,
@@ -71,11 +76,16 @@ def lookup_asof(
     out: str = "rate",
     country: str = "country",
     version: str | None = None,
+    prepared: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = 64,
 ) -> DataFrame:
-    """Add the rate in force for (country, ``day``), or ``default`` when there is none."""
-    table = effective_rates(rates, tolerance_days, version).withColumnRenamed("rate", "__rate")
+    """Add the rate in force for (country, ``day``), or ``default`` when there is none.
+
+    With ``prepared``, ``rates`` is already the result of ``prepare_rates``.
+    """
+    table = rates if prepared else prepare_rates(rates, tolerance_days, version)
+    table = table.withColumnRenamed("rate", "__rate")
     df = df.withColumn("__day", day.cast("date"))
     df = lookup(df, table, {country: "country", "__day": "rate_date"}, ["__rate"], broadcast_rows, salts)
     return df.withColumn(out, F.coalesce("__rate", F.lit(default))).drop("__day", "__rate")

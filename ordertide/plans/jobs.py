@@ -25,7 +25,7 @@ from ordertide.functions.sql import register_functions
 from ordertide.operators.decode import decode_orders, encode_json
 from ordertide.operators.dedup import first_per_key
 from ordertide.operators.filters import paid_only, today
-from ordertide.operators.rates import effective_rates, enrich_usd
+from ordertide.operators.rates import enrich_usd, prepare_rates
 from ordertide.sinks.streams import to_batches
 from ordertide.streaming import dedup as stream_dedup
 from ordertide.streaming.event_time import JOB_DELAY, ROWTIME_DELAY, with_event_time
@@ -93,11 +93,18 @@ class Job:
         return today(rows, as_of, tz) if time_filter else rows
 
     def finish(
-        self, rows: DataFrame, rates: DataFrame | None, as_of: int | None, tz: str, rate_date: str = "processing"
+        self,
+        rows: DataFrame,
+        rates: DataFrame | RateSnapshot | None,
+        as_of: int | None,
+        tz: str,
+        rate_date: str = "processing",
     ) -> DataFrame:
         """Add rates and processing time to the rows that are left, and order the columns."""
         if self.enrich:
-            rows = enrich_usd(rows, rates, rate_date, as_of, tz)
+            snapshot = isinstance(rates, RateSnapshot)
+            rates = rates.current() if snapshot else rates
+            rows = enrich_usd(rows, rates, rate_date, as_of, tz, prepared=snapshot)
         return rows.withColumn("processing_time", processing_millis(as_of)).select(*self.columns)
 
     def batch(
@@ -146,7 +153,7 @@ class Job:
         """The whole stream job into replay-safe micro-batch folders."""
 
         def finish(batch: DataFrame) -> DataFrame:
-            return self.finish(batch, rates.current() if rates else None, as_of, tz, rate_date)
+            return self.finish(batch, rates, as_of, tz, rate_date)
 
         rows = self.stream(records, as_of, tz, time_filter)
         return to_batches(rows, path, checkpoint, trigger, finish, fmt)
@@ -217,6 +224,6 @@ def run_sql(
     rates_view = None
     if rates is not None:
         rates_view = f"{view}_rates"
-        publish(effective_rates(rates, tolerance_days), rates_view)
+        publish(prepare_rates(rates, tolerance_days), rates_view)
     register_functions(spark, tz, rates_view)
     return spark.sql(sql)

@@ -31,12 +31,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, for a result that is read several times."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` computed once into the shared folder and read back from there.
+
+    For a small result that is read several times. Lost executors cost nothing already computed, and
+    Spark knows the size of the files, so its own broadcast threshold judges the true size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

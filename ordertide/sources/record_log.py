@@ -68,7 +68,7 @@ def seek_to_beginning(log: DataFrame) -> DataFrame:
 
 def seek_from_time(log: DataFrame, t: int) -> DataFrame:
     """Records from the first offset at or after ``t`` of each partition on."""
-    return seek(log, settle(offsets_for_time(log, t)))
+    return seek(log, settle(offsets_for_time(log, t), "offsets"))
 
 
 def last_offsets(log: DataFrame) -> DataFrame:

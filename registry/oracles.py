@@ -254,6 +254,10 @@ def _upsert(writes: str) -> str:
 FROM tab t FULL OUTER JOIN {writes} w ON t.rowkey = w.rowkey"""
 
 
+VISIT_JSON = (
+    """'{"user_id":' || user_id || ',"country":"' || country || '","event_time":' || event_time """
+    """|| ',"processing_time":' || processing_time || ',"event_date":"' || event_date || '"}'"""
+)
 ENRICHED = 'SELECT "offset", country, rate, gmv * rate AS gmv_usd FROM rated'
 
 ORACLES: dict[str, str] = {
@@ -416,6 +420,12 @@ FROM user_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
         """SELECT date_trunc('hour', minute_ts) AS "hour", country, CAST(sum("count") AS BIGINT) AS "count",
        floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd FROM txn_rollup GROUP BY 1, 2""",
     ),
+    "encode_json_rows": _with(*ALL_VISITS, f"SELECT {VISIT_JSON} AS value FROM all_visits"),
+    "encode_output_records": _with(
+        *ALL_VISITS,
+        f"""SELECT event_time, country || CAST(user_id AS VARCHAR) || event_date AS rowkey, {VISIT_JSON} AS value
+FROM all_visits""",
+    ),
     "encode_round_trip": _with(
         *ALL_TXN,
         """SELECT country || CAST(order_id AS VARCHAR) AS rowkey, gmv, order_id, user_id, country, event_time, gmv_usd

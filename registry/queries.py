@@ -429,11 +429,11 @@ def rollup_hour_country(spark, sf):
 
 
 def encode_json_rows(spark, sf):
-    return encode_json(_all_days(spark, sf))
+    return encode_json(_all_visits(spark, sf))
 
 
 def encode_output_records(spark, sf):
-    return output_records(_all_days(spark, sf), TXN.keys)
+    return output_records(_all_visits(spark, sf), TXN_USER.keys)
 
 
 def encode_round_trip(spark, sf):
@@ -614,7 +614,7 @@ def stream_txn_job(spark, sf):
     rates = RateSnapshot(lambda: _rates(session, sf))
 
     def finish(batch):
-        return TXN.finish(batch, rates.current(), AS_OF, "Asia/Singapore")
+        return TXN.finish(batch, rates, AS_OF, "Asia/Singapore")
 
     return drain_to_table(TXN.stream(records, AS_OF), "txn", finish)
 
@@ -635,7 +635,7 @@ def stream_txn_ttl_job(spark, sf):
     rates = RateSnapshot(lambda: _rates(session, sf))
 
     def finish(batch):
-        return TXN_TTL.finish(batch, rates.current(), AS_OF, "Asia/Singapore")
+        return TXN_TTL.finish(batch, rates, AS_OF, "Asia/Singapore")
 
     return drain_to_table(TXN_TTL.stream(records, AS_OF), "txn-ttl", finish)
 

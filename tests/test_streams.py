@@ -120,9 +120,14 @@ def test_late_rows(spark, tmp_path):
 
 def test_rate_snapshot_is_read_again_when_old(spark):
     now, loads = [0.0], []
-    snapshot = RateSnapshot(lambda: loads.append(now[0]), 60.0, lambda: now[0])
+
+    def load():
+        loads.append(now[0])
+        return spark.sql("SELECT 'PH' AS country, DATE'2022-01-11' AS rate_date, 1.0D AS rate")
+
+    snapshot = RateSnapshot(load, 60.0, clock=lambda: now[0])
     for now[0] in (0.0, 59.0, 60.0, 61.0, 200.0):
-        snapshot.current()
+        assert snapshot.current().count() == 2
     assert loads == [0.0, 60.0, 200.0]
 
 
