@@ -48,33 +48,34 @@ def _number(text: Column, kind: str) -> tuple[Column, Column]:
     return value, text.isNotNull() & value.isNull()
 
 
-def _once(df: DataFrame, expression: Column, name: str, *keep: str) -> DataFrame:
-    """``keep`` and ``expression`` as ``name``, computed exactly once per row.
+def _intact(record: Column) -> Column:
+    return record.isNotNull() & record[_CORRUPT].isNull()
 
-    A generator of one row per record keeps the expression where it stands. In a projection the
-    optimizer would copy it into every filter and column above, and so evaluate it again and again.
-    """
-    return df.select(*keep, F.explode(F.array(expression)).alias(name))
 
+def _order(values: dict[str, Column], routed: Column, is_bad: Column) -> Column:
+    columns = [
+        F.coalesce(values[name], F.lit(default)).cast(kind).alias(name)
+        for name, (kind, default) in ORDER_FIELDS.items()
+    ]
+    return F.struct(*columns, routed.alias("routed"), is_bad.alias("is_bad"))
 
-def _parsed(df: DataFrame, value: str, *keep: str) -> DataFrame:
-    """``keep`` and the record's two readings: ``typed``, and ``text`` where ``typed`` rejected it.
 
-    Nearly all records have the declared types, so nearly all are parsed once, without a cast.
-    """
-    typed = F.from_json(F.col(value), _TYPED_SCHEMA, _CORRUPT_OPTION)
-    text = F.from_json(F.col(value), _TEXT_SCHEMA, _CORRUPT_OPTION)
-    readings = F.transform(
-        F.array(typed),
-        lambda t: F.struct(
-            F.when(_intact(t), t).alias("typed"), F.when(~_intact(t), text).alias("text")
-        ),
-    )
-    return df.select(*keep, F.explode(readings).alias("r")).select(*keep, "r.typed", "r.text")
+def _order_from_typed(record: Column, database: str) -> Column:
+    routed = F.coalesce(record["event"]["database"] == database, F.lit(False))
+    return _order({name: record[name] for name in ORDER_FIELDS}, routed, F.lit(False))
 
 
-def _intact(record: Column) -> Column:
-    return record.isNotNull() & record[_CORRUPT].isNull()
+def _order_from_text(record: Column, database: str) -> Column:
+    values, cast_bad = {}, F.lit(False)
+    for name, (kind, _) in ORDER_FIELDS.items():
+        values[name] = record[name]
+        if kind != "string":
+            values[name], bad = _number(record[name], kind)
+            cast_bad = cast_bad | bad
+    routed = _intact(record) & F.coalesce(record["event"]["database"] == database, F.lit(False))
+    is_bad = ~_intact(record) | (routed & cast_bad)
+    fallback = {name: F.lit(FALLBACK_ORDER[name]) for name in ORDER_FIELDS}
+    return F.when(is_bad, _order(fallback, routed, F.lit(True))).otherwise(_order(values, routed, F.lit(False)))
 
 
 def decode_orders(
@@ -83,7 +84,7 @@ def decode_orders(
     value: str = "value",
     keep: Sequence[str] = (),
     database: str = ORDER_DATABASE,
-    observe: str | None = None,
+    observe=None,
 ) -> DataFrame:
     """Decode ``value`` into the order columns, keeping only records routed to ``database``.
 
@@ -91,44 +92,33 @@ def decode_orders(
     is no number. ``on_error`` says what happens to it: ``fallback`` gives ``FALLBACK_ORDER``,
     ``drop`` leaves it out, ``fail`` stops the job, and ``flag`` keeps every record, adding ``routed``
     and ``is_bad``. Records of other databases are left out without a look at their fields. ``keep``
-    lists transport columns to pass through. ``observe`` names a metric that counts all records and
-    the malformed ones while the job runs, for ``lastProgress`` or an ``Observation``.
+    lists transport columns to pass through. ``observe`` is an ``Observation``, or a name to look for
+    in ``lastProgress``, that counts all records and the malformed ones while the job runs.
+
+    Nearly all records have the declared types and are parsed once, without a cast. The others are
+    read again as text. All of it stands in a generator of one order per record: in a projection
+    the optimizer would copy the parsing into every filter and column above it.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    df = _parsed(df, value, *keep)
-    typed, text = F.col("typed"), F.col("text")
-    fields, cast_bad = {}, F.lit(False)
-    for name, (kind, default) in ORDER_FIELDS.items():
-        leaf = text[name]
-        if kind != "string":
-            leaf, bad = _number(leaf, kind)
-            cast_bad = cast_bad | bad
-        fields[name] = F.coalesce(F.when(typed.isNotNull(), typed[name]).otherwise(leaf), F.lit(default).cast(kind))
-    database_name = F.coalesce(typed.event.database, text.event.database)
-    parse_bad = typed.isNull() & ~_intact(text)
-    routed = F.coalesce(~parse_bad & (database_name == database), F.lit(False))
-    cast_bad = typed.isNull() & cast_bad
-    is_bad = parse_bad | (routed & cast_bad)
-
+    typed = F.from_json(F.col(value), _TYPED_SCHEMA, _CORRUPT_OPTION)
+    text = F.from_json(F.col(value), _TEXT_SCHEMA, _CORRUPT_OPTION)
+    from_text = F.transform(F.array(text), lambda t: _order_from_text(t, database))[0]
+    orders = F.transform(
+        F.array(typed), lambda t: F.when(_intact(t), _order_from_typed(t, database)).otherwise(from_text)
+    )
+    df = df.select(*keep, F.explode(orders).alias("o"))
+    routed, is_bad = F.col("o.routed"), F.col("o.is_bad")
     if observe:
-        df = df.observe(
-            observe, F.count(F.lit(1)).alias("records"), F.count_if(is_bad).alias("malformed")
-        )
-    order = F.struct(*[c.alias(name) for name, c in fields.items()])
-    flags = ()
-    if on_error == "flag":
-        flags = ("routed", "is_bad")
-        df = df.withColumns({"routed": routed, "is_bad": is_bad})
-    elif on_error == "drop":
-        df = df.where(routed & ~cast_bad)
+        df = df.observe(observe, F.count(F.lit(1)).alias("records"), F.count_if(is_bad).alias("malformed"))
+    if on_error == "drop":
+        df = df.where(routed & ~is_bad)
     elif on_error == "fallback":
-        df = df.where(is_bad | routed)
-        default = F.struct(*[F.lit(v).cast(ORDER_FIELDS[n][0]).alias(n) for n, v in FALLBACK_ORDER.items()])
-        order = F.when(is_bad, default).otherwise(order)
-    else:
+        df = df.where(routed | is_bad)
+    elif on_error == "fail":
         df = df.where(F.when(is_bad, F.raise_error(F.lit("malformed order record"))).otherwise(routed))
-    return _once(df, order, "o", *keep, *flags).select(*keep, "o.*", *flags)
+    flags = (routed, is_bad) if on_error == "flag" else ()
+    return df.select(*keep, *[f"o.{name}" for name in ORDER_FIELDS], *flags)
 
 
 def decode_fields(
@@ -141,7 +131,7 @@ def decode_fields(
     """
     schema = ", ".join(f"`{name}` STRING" for name in fields) + f", {_CORRUPT} STRING"
     parsed = F.from_json(F.col(value), schema, _CORRUPT_OPTION)
-    df = _once(df, parsed, "j", *keep)
+    df = df.select(*keep, F.explode(F.array(parsed)).alias("j"))
     ok = _intact(F.col("j"))
     out = []
     for name, (kind, default) in fields.items():

@@ -80,14 +80,24 @@ class Job:
     parse: Callable[[DataFrame], DataFrame] | None = None
 
     def prepare(
-        self, records: DataFrame, as_of: int | None, tz: str, keep: Sequence[str] = (), time_filter: bool = True
+        self,
+        records: DataFrame,
+        as_of: int | None,
+        tz: str,
+        keep: Sequence[str] = (),
+        time_filter: bool = True,
+        watermark: bool = True,
     ) -> DataFrame:
-        """Decode, project and cut to the day: everything that needs no other row."""
+        """Decode, project and cut to the day: everything that needs no other row.
+
+        The watermark only tracks the event time of orders. The projection leaves its column out, so
+        de-duplication drops no late row.
+        """
         if self.parse:
             orders = self.parse(records)
         else:
             orders = decode_orders(records, self.on_error, keep=keep)
-        if orders.isStreaming and self.watermark:
+        if orders.isStreaming and self.watermark and watermark:
             orders = with_event_time(orders, "create_time", self.watermark)
         rows = self.projection(orders, tz, keep)
         return today(rows, as_of, tz) if time_filter else rows
@@ -130,9 +140,14 @@ class Job:
         tz: str = DEFAULT_TZ,
         time_filter: bool = True,
         collapse: bool = True,
+        watermark: bool = True,
     ) -> DataFrame:
-        """The stream up to and including the de-duplication; ``write`` adds rates per micro-batch."""
-        rows = self.prepare(records, as_of, tz, time_filter=time_filter)
+        """The stream up to and including the de-duplication; ``write`` adds rates per micro-batch.
+
+        A stream can have one watermark: pass ``watermark=False`` when a roll-up follows, which sets
+        its own.
+        """
+        rows = self.prepare(records, as_of, tz, time_filter=time_filter, watermark=watermark)
         if self.dedup == "ttl":
             return stream_dedup.with_ttl(rows, self.keys, self.ttl_ms, collapse=collapse)
         return stream_dedup.forever(rows, self.keys, collapse=collapse)

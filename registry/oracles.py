@@ -505,6 +505,12 @@ FROM tab""",
         *ALL_VISITS, USER_ROLLUP,
         """SELECT * FROM user_rollup WHERE epoch_ms(minute_ts) + 60000
    <= (SELECT max(event_time) FROM all_visits) - 3600000""",
+    ),
+    "stream_rollup_txn": _with(
+        *ALL_TXN, TXN_ROLLUP,
+        """SELECT minute_ts, country, "count", floor(gmv * 10000 + 0.123456789) / 10000 AS gmv,
+       floor(gmv_usd * 10000 + 0.123456789) / 10000 AS gmv_usd
+FROM txn_rollup WHERE epoch_ms(minute_ts) + 60000 <= (SELECT max(event_time) FROM all_txn) - 3600000""",
     ),
     "stream_txn_job": TXN_JOB,
     "stream_txn_user_job": TXN_USER_JOB,

@@ -608,6 +608,15 @@ def stream_rollup_minute(spark, sf):
     return drain_to_table(reports.user_rollup(visits), "rollup")
 
 
+def stream_rollup_txn(spark, sf):
+    """De-duplication, rates and roll-up chained in one stream."""
+    session = streaming_session(spark)
+    records = feed.as_records(_stream_orders(session, sf))
+    txn = TXN.stream(records, AS_OF, time_filter=False, watermark=False)
+    rollup = reports.txn_rollup(enrich_usd(txn, _rates(session, sf), "event"))
+    return _money(drain_to_table(rollup, "rollup-txn"), "gmv", "gmv_usd")
+
+
 def stream_txn_job(spark, sf):
     session = streaming_session(spark)
     records = feed.as_dirty_records(_stream_orders(session, sf))
@@ -662,6 +671,6 @@ QUERIES = {
         kv_scan, kv_get, kv_put, kv_delete_row, kv_delete_column, kv_put_if_absent,
         kv_put_if_absent_table, kv_check_put, kv_check_put_table, kv_check_delete, kv_check_delete_table,
         stream_dedup_forever, stream_dedup_ttl, stream_dedup_watermark, stream_rollup_minute,
-        stream_txn_job, stream_txn_user_job, stream_txn_ttl_job,
+        stream_rollup_txn, stream_txn_job, stream_txn_user_job, stream_txn_ttl_job,
     )
 }
