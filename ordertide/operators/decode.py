@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ORDER_DATABASE = "order"
@@ -31,51 +31,63 @@ FALLBACK_ORDER = {
 }
 
 _CORRUPT = "_corrupt"
-_CORRUPT_OPTION = {"columnNameOfCorruptRecord": _CORRUPT}
 _EVENT = f"event STRUCT<database: STRING>, {_CORRUPT} STRING"
 # Typed leaves are fast to parse but reject what is legal here, such as a number given as text.
 _TYPED_SCHEMA = ", ".join(f"{name} {kind}" for name, (kind, _) in ORDER_FIELDS.items()) + f", {_EVENT}"
 # Text leaves accept everything; the casts are then made by the rules of this module.
 _TEXT_SCHEMA = ", ".join(f"{name} STRING" for name in ORDER_FIELDS) + f", {_EVENT}"
 
+# The expressions below are SQL text: long ones are built far faster that way than column by column.
 
-def _number(text: Column, kind: str) -> tuple[Column, Column]:
-    """(value, whether the text is no number). Blank text is absent; fractions are cut for BIGINT."""
-    text = F.when(F.trim(text) != "", F.trim(text))
-    value = text.try_cast(kind)
-    if kind == "bigint":
-        value = F.coalesce(value, text.try_cast("double").try_cast("bigint"))
-    return value, text.isNotNull() & value.isNull()
 
+def _literal(value, kind: str = "string") -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        value = f"'{escaped}'"
+    return f"CAST({value} AS {kind})"
 
-def _intact(record: Column) -> Column:
-    return record.isNotNull() & record[_CORRUPT].isNull()
 
+def _parse(value: str, schema: str) -> str:
+    return f"from_json(`{value}`, '{schema}', map('columnNameOfCorruptRecord', '{_CORRUPT}'))"
 
-def _order(values: dict[str, Column], routed: Column, is_bad: Column) -> Column:
-    columns = [
-        F.coalesce(values[name], F.lit(default)).cast(kind).alias(name)
+
+def _intact(record: str) -> str:
+    return f"({record} IS NOT NULL AND {record}.{_CORRUPT} IS NULL)"
+
+
+def _number(text: str, kind: str) -> tuple[str, str]:
+    """(value, whether the text is no number). Blank text is absent; fractions are cut for integers."""
+    text = f"CASE WHEN trim({text}) <> '' THEN trim({text}) END"
+    value = f"try_cast({text} AS {kind})"
+    if kind != "double":
+        value = f"coalesce({value}, try_cast(try_cast({text} AS DOUBLE) AS {kind}))"
+    return value, f"({text} IS NOT NULL AND {value} IS NULL)"
+
+
+def _order(values: dict[str, str], routed: str, is_bad: str) -> str:
+    fields = ", ".join(
+        f"'{name}', CAST(coalesce({values[name]}, {_literal(default, kind)}) AS {kind})"
         for name, (kind, default) in ORDER_FIELDS.items()
-    ]
-    return F.struct(*columns, routed.alias("routed"), is_bad.alias("is_bad"))
+    )
+    return f"named_struct({fields}, 'routed', {routed}, 'is_bad', {is_bad})"
 
 
-def _order_from_typed(record: Column, database: str) -> Column:
-    routed = F.coalesce(record["event"]["database"] == database, F.lit(False))
-    return _order({name: record[name] for name in ORDER_FIELDS}, routed, F.lit(False))
+def _order_from_typed(database: str) -> str:
+    routed = f"coalesce(t.event.database = {_literal(database)}, false)"
+    return _order({name: f"t.{name}" for name in ORDER_FIELDS}, routed, "false")
 
 
-def _order_from_text(record: Column, database: str) -> Column:
-    values, cast_bad = {}, F.lit(False)
+def _order_from_text(database: str) -> str:
+    values, bad_casts = {}, []
     for name, (kind, _) in ORDER_FIELDS.items():
-        values[name] = record[name]
+        values[name] = f"x.{name}"
         if kind != "string":
-            values[name], bad = _number(record[name], kind)
-            cast_bad = cast_bad | bad
-    routed = _intact(record) & F.coalesce(record["event"]["database"] == database, F.lit(False))
-    is_bad = ~_intact(record) | (routed & cast_bad)
-    fallback = {name: F.lit(FALLBACK_ORDER[name]) for name in ORDER_FIELDS}
-    return F.when(is_bad, _order(fallback, routed, F.lit(True))).otherwise(_order(values, routed, F.lit(False)))
+            values[name], bad = _number(f"x.{name}", kind)
+            bad_casts.append(bad)
+    routed = f"({_intact('x')} AND coalesce(x.event.database = {_literal(database)}, false))"
+    is_bad = f"(NOT {_intact('x')} OR ({routed} AND ({' OR '.join(bad_casts)})))"
+    fallback = {name: _literal(value, ORDER_FIELDS[name][0]) for name, value in FALLBACK_ORDER.items()}
+    return f"CASE WHEN {is_bad} THEN {_order(fallback, routed, 'true')} ELSE {_order(values, routed, 'false')} END"
 
 
 def decode_orders(
@@ -101,12 +113,9 @@ def decode_orders(
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    typed = F.from_json(F.col(value), _TYPED_SCHEMA, _CORRUPT_OPTION)
-    text = F.from_json(F.col(value), _TEXT_SCHEMA, _CORRUPT_OPTION)
-    from_text = F.transform(F.array(text), lambda t: _order_from_text(t, database))[0]
-    orders = F.transform(
-        F.array(typed), lambda t: F.when(_intact(t), _order_from_typed(t, database)).otherwise(from_text)
-    )
+    from_text = f"transform(array({_parse(value, _TEXT_SCHEMA)}), x -> {_order_from_text(database)})[0]"
+    choose = f"CASE WHEN {_intact('t')} THEN {_order_from_typed(database)} ELSE {from_text} END"
+    orders = F.expr(f"transform(array({_parse(value, _TYPED_SCHEMA)}), t -> {choose})")
     df = df.select(*keep, F.explode(orders).alias("o"))
     routed, is_bad = F.col("o.routed"), F.col("o.is_bad")
     if observe:
@@ -129,20 +138,18 @@ def decode_fields(
     Unknown fields are ignored, absent and null ones take their default, and numbers given as text
     are converted.
     """
-    schema = ", ".join(f"`{name}` STRING" for name in fields) + f", {_CORRUPT} STRING"
-    parsed = F.from_json(F.col(value), schema, _CORRUPT_OPTION)
-    df = df.select(*keep, F.explode(F.array(parsed)).alias("j"))
-    ok = _intact(F.col("j"))
-    out = []
+    schema = ", ".join(f"{name} STRING" for name in fields) + f", {_CORRUPT} STRING"
+    df = df.select(*keep, F.explode(F.array(F.expr(_parse(value, schema)))).alias("j"))
+    ok, out = [_intact("j")], []
     for name, (kind, default) in fields.items():
-        leaf = F.col(f"j.`{name}`")
+        leaf = f"j.{name}"
         if kind in ("bigint", "int", "double"):
             leaf, bad = _number(leaf, kind)
-            ok = ok & ~bad
+            ok.append(f"NOT {bad}")
         elif kind != "string":
-            leaf = leaf.try_cast(kind)
-        out.append(F.coalesce(leaf, F.lit(default).cast(kind)).alias(name))
-    return df.where(ok).select(*keep, *out)
+            leaf = f"try_cast({leaf} AS {kind})"
+        out.append(F.expr(f"coalesce({leaf}, {_literal(default, kind)})").alias(name))
+    return df.where(" AND ".join(ok)).select(*keep, *out)
 
 
 def encode_json(df: DataFrame, *columns: str, keep_nulls: bool = False, keep: Sequence[str] = ()) -> DataFrame:
