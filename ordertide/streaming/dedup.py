@@ -23,16 +23,10 @@ def collapse_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            rows = pa.table(batch.select(keys) if batch.num_rows else batch)
-            if batch.num_rows < 2:
-                yield batch
-                continue
+            rows = pa.Table.from_batches([batch.select(keys)])
             numbered = rows.append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
             first = numbered.group_by(keys).aggregate([("__row", "min")])["__row_min"]
-            if len(first) == batch.num_rows:
-                yield batch
-            else:
-                yield batch.take(first.combine_chunks().sort())
+            yield batch if len(first) == batch.num_rows else batch.take(first.combine_chunks().sort())
 
     return df.mapInArrow(collapse, df.schema)
 
