@@ -2,8 +2,8 @@
 
 A shard holds the ids of whole documents, back to back. Its ids are cut into blocks of a fixed size; a
 block is transposed so that plane b holds bit b of every id (or, with ``planes="byte"``, byte b), and
-each plane is compressed with zstandard on its own. High planes are nearly all zero, and a reader of
-one block needs only that block's planes: a chunk index at the end gives the place of every plane.
+each plane is compressed with zstandard on its own; a plane of zeros takes no bytes. A reader of one
+block needs only that block's planes: a chunk index at the end gives the place of every plane.
 
 Shard layout, little-endian::
 
@@ -49,13 +49,17 @@ def pack_shard(ids: np.ndarray, block: int = BLOCK, planes: str = "bit", level:
     ids = np.ascontiguousarray(ids, "<u4")
     out, index = [HEAD.pack(MAGIC, kind, block, len(ids))], []
     for start in range(0, len(ids), block):
-        part = ids[start : start + block].view(np.uint8).reshape(-1, 4)
-        if kind == 8:
-            rows = part.T
-        else:
-            rows = np.packbits(np.unpackbits(part, axis=1, bitorder="little").T, axis=1, bitorder="little")
-        for row in rows:
-            out.append(squeeze(row.tobytes()))
+        part = ids[start : start + block]
+        top = int(part.max()).bit_length()
+        for b in range(0, 32, kind):
+            if b >= top:
+                index.append(0)
+                continue
+            if kind == 8:
+                plane = (part >> np.uint32(b)).astype(np.uint8)
+            else:
+                plane = np.packbits((part >> np.uint32(b)) & np.uint32(1) != 0, bitorder="little")
+            out.append(squeeze(plane.tobytes()))
             index.append(len(out[-1]))
     place = sum(map(len, out))
     out += [np.array(index, "<u4").tobytes(), struct.pack("<Q", place)]
@@ -74,15 +78,17 @@ def unpack_shard(data: bytes, blocks: range | None = None) -> np.ndarray:
     lengths = np.frombuffer(data, "<u4", (len(data) - 8 - place) // 4, place).astype(np.int64)
     starts = HEAD.size + np.cumsum(lengths) - lengths
     grow, out = zstandard.ZstdDecompressor(), []
-    for b in range(-(-n // block)) if blocks is None else blocks:
-        size = min(block, n - b * block)
-        at = range(b * n_planes, (b + 1) * n_planes)
-        rows = [grow.decompress(data[starts[k] : starts[k] + lengths[k]]) for k in at]
-        planes = np.frombuffer(b"".join(rows), np.uint8).reshape(n_planes, -1)
-        if kind == 1:
-            bits = np.unpackbits(planes, axis=1, count=size, bitorder="little")
-            planes = np.packbits(bits.T, axis=1, bitorder="little").T
-        out.append(np.ascontiguousarray(planes.T).view("<u4").reshape(-1))
+    for k in range(-(-n // block)) if blocks is None else blocks:
+        size = min(block, n - k * block)
+        ids = np.zeros(size, "<u4")
+        for b in range(n_planes):
+            at = k * n_planes + b
+            if lengths[at]:
+                plane = np.frombuffer(grow.decompress(data[starts[at] : starts[at] + lengths[at]]), np.uint8)
+                if kind == 1:
+                    plane = np.unpackbits(plane, count=size, bitorder="little")
+                ids |= plane.astype(np.uint32) << np.uint32(b * kind)
+        out.append(ids)
     return np.concatenate(out) if out else np.empty(0, "<u4")
 
 

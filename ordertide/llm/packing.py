@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordertide.llm.rows import sliced
 from ordertide.llm.tokens import default_tokenizer, encoder
@@ -132,7 +133,7 @@ def pack(
             columns = [batch.column(1), pa.array(base + placed[:, 0]), pa.array(placed[:, 1])]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "sequence_id", "offset"])
 
-    schema = f"row {dealt.schema['row'].dataType.simpleString()}, sequence_id bigint, offset bigint"
+    schema = T.StructType([dealt.schema["row"], *T.StructType.fromDDL("sequence_id bigint, offset bigint").fields])
     return dealt.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
 
 

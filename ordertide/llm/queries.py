@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertide.llm.binary_output import token_shards_round_trip
+from ordertide.llm.decontamination import contamination
 from ordertide.llm.packing import pack_documents
+from ordertide.llm.quality_rules import quality_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_perplexity(spark, sf_dir):
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -22,9 +28,15 @@ def op8_bit_plane_output(spark, sf_dir):
     return token_shards_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_positional_index(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_perplexity": op3_ngram_perplexity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_bit_plane_output": op8_bit_plane_output,
+    "op10_positional_index": op10_positional_index,
 }
 
 ORACLES: dict[str, str] = {}

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import unicodedata
 from itertools import filterfalse
 
 #: Entries that a worker remembers before it starts afresh.
-MEMORY = 1_000_000
+MEMORY = 600_000
 #: Words longer than this are not remembered.
 LONGEST = 64
 #: Characters of text that are split and looked up together.
@@ -38,6 +39,18 @@ def _plain(word: str) -> bool:
     return word.isalpha() and word.lower().isalpha() and unicodedata.is_normalized("NFC", word)
 
 
+#: A full stop or comma at a word's end, behind what is, or in lower case becomes, neither letter nor digit.
+_CLUSTER = re.compile(r"(?<![^\W_])[.,] |İ[.,] ")
+
+
+def _split(text: str | None) -> list[str]:
+    """The words, a final full stop or comma on its own where the tokenizer too parts it from the word."""
+    text = (text or "").replace("\n", " ")
+    if not _CLUSTER.search(text):
+        text = text.replace(". ", " . ").replace(", ", " , ")
+    return text.split(" ")
+
+
 class WordEncoder:
     """``encode`` gives the ids that the file's tokenizer gives, as little-endian unsigned 32-bit.
 
@@ -75,7 +88,7 @@ class WordEncoder:
         return out
 
     def _part(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        words = [_split(t) for t in texts]
         if len(self.known) > MEMORY:
             self.known = {"": b""}
         known = self.known
