@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordertide.llm.binary_output import token_shards_round_trip
 from ordertide.llm.decontamination import contamination
+from ordertide.llm.near_dedup import near_duplicate_report
 from ordertide.llm.packing import pack_documents
 from ordertide.llm.quality_rules import quality_report
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chosen_path_join(spark, sf_dir):
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_perplexity(spark, sf_dir):
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op10_positional_index(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chosen_path_join": op2_chosen_path_join,
     "op3_ngram_perplexity": op3_ngram_perplexity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_bit_plane_output": op8_bit_plane_output,
