@@ -11,6 +11,7 @@ from ordertide.llm.decontamination import contamination
 from ordertide.llm.near_dedup import near_duplicate_report
 from ordertide.llm.packing import pack_documents
 from ordertide.llm.quality_rules import quality_report
+from ordertide.llm.suffix_dedup import repeat_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_hash_suffix_sort(spark, sf_dir):
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op8_bit_plane_output(spark, sf_dir):
     return token_shards_round_trip(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chosen_path_join": op2_chosen_path_join,
     "op3_ngram_perplexity": op3_ngram_perplexity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_hash_suffix_sort": op7_hash_suffix_sort,
     "op8_bit_plane_output": op8_bit_plane_output,
     "op10_positional_index": op10_positional_index,
 }
