@@ -2,7 +2,7 @@
 
 ``build_index`` stores the token postings of the training texts. The index is partitioned by document:
 a segment holds the documents that one task read one after another, up to a fixed number of words, with
-its own sorted term dictionary and, for every term, the ascending positions at which it stands. Documents
+its own term dictionary and, for every term, the ascending positions at which it stands. Documents
 lie back to back with a gap between them, so that no run of positions crosses a document end.
 
 ``search`` takes phrases. In each segment a phrase is looked up in the dictionary; if a term is missing
@@ -18,7 +18,9 @@ grouped, by document.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +69,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         base, k = TaskContext.get().partitionId() << 32, 0
         ids: list = []
         lengths: list[int] = []
-        numbers: dict[bytes, int] = {}
+        numbers: dict[bytes, int] = defaultdict(count().__next__)
         stream: list[np.ndarray] = []
         size = 0
 
@@ -78,15 +80,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in sliced(batches, "text", 1_000_000):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = words(text)
-                for w in set(found).difference(numbers):
-                    numbers[w] = len(numbers)
                 stream.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
                 ids.append(doc_id)
                 lengths.append(len(found))
                 size += len(found)
                 if size >= segment_words:
                     yield closed()
-                    ids, lengths, numbers, stream, size, k = [], [], {}, [], 0, k + 1
+                    ids, lengths, stream, size, k = [], [], [], 0, k + 1
+                    numbers = defaultdict(count().__next__)
         if ids:
             yield closed()
 
@@ -99,22 +100,20 @@ def _starts(lengths: np.ndarray) -> np.ndarray:
 
 
 def _postings(stream: list[np.ndarray], lengths: list[int], numbers: dict[bytes, int]) -> tuple[bytes, bytes, bytes]:
-    """Terms in byte order, how often each stands, and their positions list after list."""
-    terms = sorted(numbers)
-    rank = np.empty(len(terms), np.int32)
-    rank[[numbers[t] for t in terms]] = np.arange(len(terms), dtype=np.int32)
-    flat = rank[np.concatenate(stream)] if terms else np.empty(0, np.int32)
+    """Terms in order of appearance, how often each stands, and their positions list after list."""
+    flat = np.concatenate(stream)
     n = np.asarray(lengths, np.int64)
     places = np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)
-    counts = np.bincount(flat, minlength=len(terms)).astype("<u4")
-    return b" ".join(terms), counts.tobytes(), places[np.argsort(flat, kind="stable")].astype("<u4").tobytes()
+    counts = np.bincount(flat, minlength=len(numbers)).astype("<u4")
+    keyed = np.sort((flat.astype(np.uint64) << np.uint64(32)) | places.astype(np.uint64))
+    return b" ".join(numbers), counts.tobytes(), keyed.astype("<u4").tobytes()
 
 
 class Segment:
-    """One segment, opened: ``postings(term)`` and the matches of phrases."""
+    """One segment, opened for the terms ``wanted``: their postings and the matches of phrases."""
 
-    def __init__(self, terms: bytes, counts: bytes, positions: bytes):
-        self.terms = {t: i for i, t in enumerate(terms.split(b" "))} if terms else {}
+    def __init__(self, terms: bytes, counts: bytes, positions: bytes, wanted: set[bytes]):
+        self.terms = {t: i for i, t in enumerate(terms.split(b" ")) if t in wanted} if terms else {}
         self.counts = np.frombuffer(counts, "<u4").astype(np.int64)
         self.ends = np.cumsum(self.counts)
         self.positions = np.frombuffer(positions, "<u4").astype(np.int64)
@@ -209,10 +208,11 @@ def _searcher(sent, proximity: int | None):
     names = ["segment", "doc_no", "starts", "ends", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = {w for phrase, _ in sent.value for w in phrase}
         for batch in batches:
             for k in range(batch.num_rows):
                 number, _, lengths, terms, counts, positions = (c[k].as_py() for c in batch.columns)
-                opened = Segment(terms, counts, positions)
+                opened = Segment(terms, counts, positions, wanted)
                 first = _starts(np.asarray(lengths, np.int64))
                 spans: dict[int, set] = {}
                 named: dict[int, set] = {}
