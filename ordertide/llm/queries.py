@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordertide.llm.binary_output import token_shards_round_trip
 from ordertide.llm.decontamination import contamination
+from ordertide.llm.html_text import extraction_report
 from ordertide.llm.near_dedup import near_duplicate_report
 from ordertide.llm.packing import pack_documents
 from ordertide.llm.quality_rules import quality_report
 from ordertide.llm.suffix_dedup import repeat_report
+from ordertide.llm.url_filter import url_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,14 @@ def op3_ngram_perplexity(spark, sf_dir):
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_tree_scoring(spark, sf_dir):
+    return extraction_report(table(spark, sf_dir, "pages"))
+
+
+def op5_host_segmentation(spark, sf_dir):
+    return url_report(table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -45,6 +55,8 @@ def op10_positional_index(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chosen_path_join": op2_chosen_path_join,
     "op3_ngram_perplexity": op3_ngram_perplexity,
+    "op4_tree_scoring": op4_tree_scoring,
+    "op5_host_segmentation": op5_host_segmentation,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_hash_suffix_sort": op7_hash_suffix_sort,
     "op8_bit_plane_output": op8_bit_plane_output,

@@ -9,7 +9,7 @@ import unicodedata
 from itertools import filterfalse
 
 #: Entries that a worker remembers before it starts afresh.
-MEMORY = 600_000
+MEMORY = 700_000
 #: Words longer than this are not remembered.
 LONGEST = 64
 #: Characters of text that are split and looked up together.
@@ -40,12 +40,14 @@ def _plain(word: str) -> bool:
 
 
 #: A full stop or comma at a word's end, behind what is, or in lower case becomes, neither letter nor digit.
-_CLUSTER = re.compile(r"(?<![^\W_])[.,] |İ[.,] ")
+_CLUSTER = re.compile(r"[.,] (?:(?<![^\W_][.,] )|(?<=İ[.,] ))")
 
 
-def _split(text: str | None) -> list[str]:
+def _split(text: str | None, lower: bool) -> list[str]:
     """The words, a final full stop or comma on its own where the tokenizer too parts it from the word."""
     text = (text or "").replace("\n", " ")
+    if lower and text.isascii() and "<|" not in text:
+        text = text.lower()
     if not _CLUSTER.search(text):
         text = text.replace(". ", " . ").replace(", ", " , ")
     return text.split(" ")
@@ -66,6 +68,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.apart = self.words_apart()
+        self.lower = self._direct("ABCDEFGHIJKLMNOPQRSTUVWXYZ") == self._direct("abcdefghijklmnopqrstuvwxyz")
         self.known: dict[str, bytes] = {"": b""}
 
     def words_apart(self) -> bool:
@@ -88,7 +91,7 @@ class WordEncoder:
         return out
 
     def _part(self, texts: list[str | None]) -> list[bytes]:
-        words = [_split(t) for t in texts]
+        words = [_split(t, self.lower) for t in texts]
         if len(self.known) > MEMORY:
             self.known = {"": b""}
         known = self.known
