@@ -6,19 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordertide.llm import quality_rules, suffix_dedup
+from ordertide.llm.decontamination import clean_documents
+from ordertide.llm.near_dedup import without_near_duplicates
 from ordertide.llm.packing import pack_documents
 from ordertide.llm.queries import table
 from ordertide.session import settle
 
 
+def ngram_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the perplexity bands keep."""
+    return quality_rules.kept_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, with the least id, of each component of near-duplicates."""
+    return without_near_duplicates(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes of their strings that start elsewhere too; n_chars follows."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty is in a window of the benchmark."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of what is left, with its sequence and place."""
     return pack_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", ngram_quality),
+    ("MinHash near-dedup", near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("benchmark decontamination", decontamination),
     ("best-fit packing", best_fit_packing),
 ]
 
+#: SQL cannot say what a language model or a tokenizer does; tests/llm compares each stage with brute force.
 ORACLE_SQL = None
 
 

@@ -266,3 +266,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     joined = rows.join(gathered, ["segment", "doc_no"], "left").select("doc_id", "n_words", "starts", "ends", "items")
     merged = joined.mapInArrow(_merged, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string")
     return merged.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, columns unchanged; rows are told apart by number."""
+    boxed = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
+    stored = settle(boxed, "numbered")
+    found = contamination(stored.select("uid", "text"), items, "uid", "text", item_col, item_text_col)
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("uid"))
+    return stored.join(bad, "uid", "left_anti").select("row.*")

@@ -155,7 +155,8 @@ def _branched(entries: DataFrame, trees: int = 0) -> DataFrame:
 def _shared(entries: DataFrame) -> DataFrame:
     """The entries of nodes with two classes or more: node, uid, size, pivot."""
     sizes = entries.groupBy("node").agg(F.count("*").alias("size"), F.min("uid").alias("pivot")).filter("size > 1")
-    return entries.join(sizes, "node")
+    sizes = settle(sizes, "nodes")
+    return entries.join(F.broadcast(sizes) if fits(sizes, SENT_IDS) else sizes, "node")
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -232,20 +233,25 @@ def _in_blocks(large: DataFrame) -> DataFrame:
 
 def links_between(stored: DataFrame, sketches: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """(a, b) links that join the same components as all links between the classes do."""
-    entries = settle(_shared(_branched(sketches, trees)), "level-1")
+    return links_in(_branched(sketches, trees), stored, sketches, percent, MAX_DEPTH)
+
+
+def links_in(entries: DataFrame, stored: DataFrame, sketches: DataFrame, percent: int, depths: int) -> DataFrame:
+    """The links within the nodes of ``entries`` (node, uid), which are branched ``depths`` - 1 times at most."""
+    entries = settle(_shared(entries), "level-1")
     stars = entries.filter("uid <> pivot").select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
     links = _verified(_likely(stars, sketches), stored, percent)
     roots = components(links)
     candidates = None
-    for depth in range(1, MAX_DEPTH + 1):
+    for depth in range(1, depths + 1):
         nodes = settle(_mixed_nodes(entries, roots), "mixed")
         large = nodes.filter(F.col("size") > SMALL_NODE)
         small = nodes.filter(F.col("size") <= SMALL_NODE)
-        if depth == MAX_DEPTH:
+        if depth == depths:
             small = small.select("node", "uid", "root").unionByName(_in_blocks(large))
         found = _compared(small.select("node", "uid", "root"), sketches)
         candidates = found if candidates is None else candidates.unionByName(found)
-        if depth == MAX_DEPTH or large.isEmpty():
+        if depth == depths or large.isEmpty():
             break
         entries = settle(_shared(_branched(large.select("node", "uid").join(sketches, "uid"))), "level")
     return links.unionByName(_verified(candidates.distinct(), stored, percent))
