@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordertide.llm.rows import mixed, sliced, unpacked
+from ordertide.llm.rows import mixed, ranges, sliced, unpacked
 from ordertide.session import settle
 
 ORDER = 5
@@ -43,34 +43,39 @@ HELD_GRAMS = 400_000
 HELD_WORDS = 200_000
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
-_SPACES = {c: " " for c in range(9, 14)}
+_SPACE = " \t\n\v\f\r"
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of anything but space, \\t, \\n, \\v, \\f and \\r; none for null."""
-    return [w for w in text.translate(_SPACES).split(" ") if w] if text else []
+    found = (text or "").encode("utf-8", "surrogatepass").split()
+    return b" ".join(found).decode("utf-8", "surrogatepass").split(" ") if found else []
 
 
-def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
+def base_counts(text: str | None, words: list[str] | None = None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one text."""
-    words = words_of(text)
-    n = len(words)
+    text = text or ""
+    words = words_of(text) if words is None else words
+    n, symbols = len(words), len(_SYMBOL.findall(text))
     if not n:
-        return 0, 0, len(_SYMBOL.findall(text or "")), 0, 0
-    lines = Counter(x for x in text.split("\n") if words_of(x))
-    number: dict[str, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
+        return 0, 0, symbols, 0, 0
+    lines = [x for x in text.split("\n") if x.strip(_SPACE)]
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
     repeated = 0
-    if n >= 3:
-        first = np.uint64(len(number)) * ids[:-2].astype(np.uint64) + ids[1:-1].astype(np.uint64)
-        pairs = np.unique(first, return_inverse=True)[1].astype(np.uint64)
-        _, which, counts = np.unique(pairs * np.uint64(len(number)) + ids[2:].astype(np.uint64), return_inverse=True, return_counts=True)
+    if n >= 3 and len(numbers) < n:
+        ids = np.fromiter(map(numbers.__getitem__, words), np.uint64, n)
+        kinds = np.uint64(len(numbers))
+        pairs = ids[:-2] * kinds + ids[1:-1]
+        if len(numbers) > 2_000_000:
+            pairs = np.unique(pairs, return_inverse=True)[1].astype(np.uint64)
+        _, which, counts = np.unique(pairs * kinds + ids[2:], return_inverse=True, return_counts=True)
         twice = counts[which] > 1
-        inside = np.zeros(n, bool)
-        for k in range(3):
-            inside[k : n - 2 + k] |= twice
-        repeated = int(inside.sum())
-    return n, sum(map(len, words)), len(_SYMBOL.findall(text)), sum(lines.values()) - len(lines), repeated
+        if twice.any():
+            inside = np.zeros(n, bool)
+            for k in range(3):
+                inside[k : n - 2 + k] |= twice
+            repeated = int(inside.sum())
+    return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), repeated
 
 
 def word_grams(word: str, order: int = ORDER) -> list[str]:
@@ -78,6 +83,23 @@ def word_grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
+def gram_windows(words: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of the padded words, where each gram starts in them, how many grams each word has)."""
+    pad = START * (order - 1)
+    codes = np.frombuffer("".join([pad + w + END for w in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+    many = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    first = np.cumsum(many + order - 1) - (many + order - 1)
+    return codes, np.repeat(first, many) + ranges(many), many
+
+
+def window_hashes(codes: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """``gram_hashes`` of the grams of ``order`` code points that start at ``at``."""
+    h = np.full(len(at), order + 1, np.uint64)
+    for k in range(order):
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + codes[at + k].astype(np.uint64) + np.uint64(1))
+    return h
+
+
 def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> DataFrame:
     """lang (null: empty), gram, n over all texts. A task holds a bounded number of words and grams."""
     taken = docs.select(
@@ -91,10 +113,16 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
         def spread() -> None:
             for lang, counted in held.items():
+                if not counted:
+                    continue
                 into = grams.setdefault(lang, {})
-                for word, n in counted.items():
-                    for g in word_grams(word, order):
-                        into[g] = into.get(g, 0) + n
+                codes, at, many = gram_windows(list(counted), order)
+                _, one, which = np.unique(window_hashes(codes, at, order), return_index=True, return_inverse=True)
+                sums = np.bincount(which, np.repeat(np.fromiter(counted.values(), np.float64, len(counted)), many))
+                text = codes[at[one][:, None] + np.arange(order)].tobytes().decode("utf-32-le", "surrogatepass")
+                for k, n in enumerate(sums.astype(np.int64).tolist()):
+                    g = text[k * order : (k + 1) * order]
+                    into[g] = into.get(g, 0) + n
             held.clear()
 
         def passed() -> Iterator[pa.RecordBatch]:
@@ -207,27 +235,36 @@ class HashModel:
 
     def word_scores(self, words: set[str]) -> dict[str, float]:
         """Summed log probabilities of each word's grams, remembered between calls."""
-        if len(self.memory) > 1_000_000:
+        if len(self.memory) > 500_000:
             self.memory = {}
         todo = [w for w in words if w not in self.memory]
         if todo:
-            grams = [word_grams(w, self.order) for w in todo]
-            scored = self.log_probabilities([g for x in grams for g in x])
-            ends = np.cumsum([len(x) for x in grams])
+            codes, at, many = gram_windows(todo, self.order)
+            keys, values = self.arrays.get(self.order, (np.empty(0, np.uint64), np.empty(0)))
+            hashes = window_hashes(codes, at, self.order)
+            place = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
+            known = keys[place] == hashes if len(keys) else np.zeros(len(hashes), bool)
+            scored = values[place] if len(keys) else np.zeros(len(hashes))
+            if not known.all():
+                rest = codes[at[~known][:, None] + np.arange(self.order)].tobytes().decode("utf-32-le", "surrogatepass")
+                scored[~known] = self.log_probabilities([rest[i : i + self.order] for i in range(0, len(rest), self.order)])
+            ends = np.cumsum(many)
             sums = np.add.reduceat(scored, np.append(0, ends[:-1]))
             self.memory.update(zip(todo, sums.tolist()))
         return self.memory
 
 
-def scored(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> DataFrame:
-    """``row``, lang, the base counts and log_perplexity (null without words) of each text of ``docs``.
+def scored(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, carry: list[str] | None = None
+) -> DataFrame:
+    """``row`` (the columns ``carry``, by default all), lang, the base counts and log_perplexity (null without words) of each text of ``docs``.
 
     Models are sent to the tasks language by language, each only if it has at most ``SENT_GRAMS``.
     """
     spark = docs.sparkSession
     model = settle(kneser_ney(settle(ngram_counts(docs, text_col, lang_col, order), "grams"), order), "model")
     boxed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(*[docs[c] for c in (docs.columns if carry is None else carry)]).alias("row"),
         F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"),
         docs[text_col].cast("string").alias("text"),
     )
@@ -255,7 +292,7 @@ def scored(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", orde
                     scores.append(-total / (sum(map(len, found)) + len(found)))
                 else:
                     scores.append(None)
-            columns = list(zip(*map(base_counts, texts)))
+            columns = list(zip(*map(base_counts, texts, words)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in columns], pa.array(scores, pa.float64())],
                 names=["row", "lang", *names, "log_perplexity"],
@@ -265,7 +302,8 @@ def scored(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", orde
     return boxed.mapInArrow(run, T.StructType([boxed.schema["row"], *fields.fields]))
 
 
-def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lower: float = LOWER, upper: float = UPPER) -> DataFrame:
+def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lower: float = LOWER, upper: float = UPPER,
+            carry: list[str] | None = None) -> DataFrame:
     """``row`` with n_words, the base counts, base_failed, log_perplexity, its band, and kept.
 
     Null and wordless texts fail the base rules. A null language counts as a language of its own. A
@@ -273,7 +311,7 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", low
     that repeat, and ties, are judged alike. An empty table gives an empty result.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    stored = settle(scored(docs, text_col, lang_col).withColumn("base_failed", failed), "scored")
+    stored = settle(scored(docs, text_col, lang_col, carry=carry).withColumn("base_failed", failed), "scored")
     sound = stored.filter(~F.col("base_failed")).select("lang", "log_perplexity")
     middle = sound.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle"))
     middle = settle(middle, "middle")
@@ -293,7 +331,7 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", low
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, n_words, the base counts, base_failed, kept, and the perplexity behind it."""
     taken = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
-    slim = quality(taken)
+    slim = quality(taken, carry=["doc_id"])
     return slim.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "log_perplexity",

@@ -11,6 +11,8 @@ from ordertide.llm.decontamination import contamination
 from ordertide.llm.html_text import extraction_report
 from ordertide.llm.near_dedup import near_duplicate_report
 from ordertide.llm.packing import pack_documents
+from ordertide.llm.paragraph_dedup import paragraph_report
+from ordertide.llm.quality_classifier import classifier_report
 from ordertide.llm.quality_rules import quality_report
 from ordertide.llm.suffix_dedup import repeat_report
 from ordertide.llm.url_filter import url_report
@@ -20,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_paragraph_minhash(spark, sf_dir):
+    return paragraph_report(table(spark, sf_dir, "documents"))
+
+
 def op2_chosen_path_join(spark, sf_dir):
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -48,11 +54,16 @@ def op8_bit_plane_output(spark, sf_dir):
     return token_shards_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_weak_label_classifier(spark, sf_dir):
+    return classifier_report(table(spark, sf_dir, "documents"))
+
+
 def op10_positional_index(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_paragraph_minhash": op1_paragraph_minhash,
     "op2_chosen_path_join": op2_chosen_path_join,
     "op3_ngram_perplexity": op3_ngram_perplexity,
     "op4_tree_scoring": op4_tree_scoring,
@@ -60,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_hash_suffix_sort": op7_hash_suffix_sort,
     "op8_bit_plane_output": op8_bit_plane_output,
+    "op9_weak_label_classifier": op9_weak_label_classifier,
     "op10_positional_index": op10_positional_index,
 }
 
