@@ -153,8 +153,13 @@ def _branched(entries: DataFrame, trees: int = 0) -> DataFrame:
 
 
 def _shared(entries: DataFrame) -> DataFrame:
-    """The entries of nodes with two classes or more: node, uid, size, pivot."""
-    sizes = entries.groupBy("node").agg(F.count("*").alias("size"), F.min("uid").alias("pivot")).filter("size > 1")
+    """The entries of nodes with two classes or more: node, uid, size, pivot.
+
+    A node's pivot is a member drawn by the node's own hash, so that a dense group, which meets in many
+    nodes, is linked through many different members.
+    """
+    drawn = F.min_by("uid", F.xxhash64("node", "uid")).alias("pivot")
+    sizes = entries.groupBy("node").agg(F.count("*").alias("size"), drawn).filter("size > 1")
     sizes = settle(sizes, "nodes")
     return entries.join(F.broadcast(sizes) if fits(sizes, SENT_IDS) else sizes, "node")
 
@@ -239,7 +244,7 @@ def links_between(stored: DataFrame, sketches: DataFrame, percent: int = PERCENT
 def links_in(entries: DataFrame, stored: DataFrame, sketches: DataFrame, percent: int, depths: int) -> DataFrame:
     """The links within the nodes of ``entries`` (node, uid), which are branched ``depths`` - 1 times at most."""
     entries = settle(_shared(entries), "level-1")
-    stars = entries.filter("uid <> pivot").select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
+    stars = entries.filter("uid <> pivot").select(F.least("pivot", "uid").alias("a"), F.greatest("pivot", "uid").alias("b")).distinct()
     links = _verified(_likely(stars, sketches), stored, percent)
     roots = components(links)
     candidates = None
