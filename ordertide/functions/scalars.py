@@ -72,8 +72,18 @@ def ntz_from_millis(ms) -> Column:
 
 
 def ntz_to_millis(ts) -> Column:
-    """Epoch milliseconds of a UTC wall-clock timestamp (without zone)."""
-    return F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), _col(ts))
+    """Epoch milliseconds of a UTC wall-clock timestamp (without zone), from its own date and time parts."""
+    ts = _col(ts)
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    return seconds * 1000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000).cast("long")
+
+
+def truncate_ntz_hour(ts) -> Column:
+    """The hour of a UTC wall-clock timestamp (without zone). ``date_trunc`` would pass through the session's zone."""
+    ts = _col(ts)
+    parts = [F.date_format(ts.cast("date"), "yyyy-MM-dd"), F.lpad(F.hour(ts).cast("string"), 2, "0")]
+    return F.concat(parts[0], F.lit(" "), parts[1], F.lit(":00:00")).cast("timestamp_ntz")
 
 
 def timestamp_from_millis(ms) -> Column:

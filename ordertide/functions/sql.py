@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ordertide.functions.scalars import COUNTRY_BY_CURRENCY, DEFAULT_TZ, MAX_EPOCH_SECONDS
+from ordertide.functions.scalars import (
+    _MAX_MS,
+    _MIN_MS,
+    COUNTRY_BY_CURRENCY,
+    DEFAULT_TZ,
+    MAX_EPOCH_SECONDS,
+)
 
 
 def _define(spark: SparkSession, signature: str, returns: str, body: str) -> None:
@@ -40,8 +46,9 @@ def register_functions(
         spark,
         "event_day(ms BIGINT)",
         "STRING",
+        f"CASE WHEN ms BETWEEN {_MIN_MS} AND {_MAX_MS} THEN "
         f"CAST(CAST(convert_timezone('UTC', '{tz}', timestampadd(MILLISECOND, ms, "
-        "TIMESTAMP_NTZ'1970-01-01 00:00:00')) AS DATE) AS STRING)",
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00')) AS DATE) AS STRING) END",
     )
     if rates_view:
         _define(

@@ -48,7 +48,9 @@ def _literal(value, kind: str = "string") -> str:
 
 
 def _parse(value: str, schema: str) -> str:
-    return f"from_json(`{value}`, '{schema}', map('columnNameOfCorruptRecord', '{_CORRUPT}'))"
+    # Strict JSON: bare NaN and Infinity and single quotes make a record malformed.
+    options = f"'columnNameOfCorruptRecord', '{_CORRUPT}', 'allowNonNumericNumbers', 'false', 'allowSingleQuotes', 'false'"
+    return f"from_json(`{value}`, '{schema}', map({options}))"
 
 
 def _intact(record: str) -> str:

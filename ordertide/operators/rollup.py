@@ -13,6 +13,7 @@ from ordertide.functions.scalars import (
     ntz_literal,
     timestamp_from_millis,
     truncate_millis,
+    truncate_ntz_hour,
 )
 from ordertide.operators.filters import in_interval
 
@@ -43,7 +44,7 @@ def rollup_minute(
 
 def with_hour(rollup: DataFrame) -> DataFrame:
     """Add the partition column of the stored roll-up: its hour."""
-    return rollup.withColumn("hour", F.date_trunc("HOUR", "minute_ts").cast("timestamp_ntz"))
+    return rollup.withColumn("hour", truncate_ntz_hour("minute_ts"))
 
 
 def hourly_totals(
@@ -62,11 +63,11 @@ def hourly_totals(
     if "hour" in rollup.columns:
         rows = rows.where(
             F.col("hour").between(
-                F.date_trunc("HOUR", ntz_literal(start)).cast("timestamp_ntz"),
-                F.date_trunc("HOUR", ntz_literal(end)).cast("timestamp_ntz"),
+                truncate_ntz_hour(ntz_literal(start)),
+                truncate_ntz_hour(ntz_literal(end)),
             )
         )
-    hour = F.date_trunc("HOUR", "minute_ts").cast("timestamp_ntz").alias("hour_ts")
+    hour = truncate_ntz_hour("minute_ts").alias("hour_ts")
     return rows.groupBy(hour, *dimensions).agg(
         F.sum("count").cast("double").alias("count"), *[F.sum(m).alias(m) for m in metrics]
     )

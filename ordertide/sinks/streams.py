@@ -68,14 +68,17 @@ def to_batches(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
 ) -> DataStreamWriter:
-    """Exactly once through ``foreachBatch``: every micro-batch owns the folder ``batch_id=N``.
+    """Exactly once through ``foreachBatch``: every micro-batch owns the folder ``query_id=Q/batch_id=N``.
 
     A replayed batch overwrites its own folder, so a failure between write and commit leaves
-    neither a gap nor a copy. ``transform`` sees the batch as a plain table.
+    neither a gap nor a copy. The query's id is that of its checkpoint: a new checkpoint on the same
+    path starts at batch 0 again but cannot erase what an earlier one finished. ``transform`` sees
+    the batch as a plain table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        out.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        out.write.mode("overwrite").format(fmt).save(f"{path}/query_id={query}/batch_id={batch_id}")
 
     return _writer(df, checkpoint, trigger).foreachBatch(write)

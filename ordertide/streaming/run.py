@@ -50,4 +50,4 @@ def drain_to_table(
         run_available(to_files(df, out, checkpoint))
         return spark.read.schema(df.schema).parquet(out)
     run_available(to_batches(df, out, checkpoint, transform=transform))
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("query_id", "batch_id")

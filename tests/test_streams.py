@@ -59,11 +59,23 @@ def test_restart_neither_repeats_nor_loses(spark, tmp_path):
 
 
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
+    """A batch whose commit was lost runs again from the same checkpoint."""
     session = streaming_session(spark, 2)
-    out = scratch_path(spark, "replay")
+    out, checkpoint = scratch_path(spark, "replay"), tmp_path / "replay-c"
     write_lines(tmp_path / "in", "a", "x", "y")
-    for attempt in range(2):  # a new checkpoint each time: batch 0 runs again
-        run_available(to_batches(text_stream(session, tmp_path / "in"), out, scratch_path(spark, f"replay-{attempt}")))
+    for _ in range(2):
+        run_available(to_batches(text_stream(session, tmp_path / "in"), out, str(checkpoint)))
+        for commit in (checkpoint / "commits").glob("*0*"):
+            commit.unlink()
+    assert sorted(r.value for r in session.read.parquet(out).collect()) == ["x", "y"]
+
+
+def test_new_checkpoint_erases_nothing(spark, tmp_path):
+    session = streaming_session(spark, 2)
+    out = scratch_path(spark, "restarted")
+    for name, line in (("a", "x"), ("b", "y")):
+        write_lines(tmp_path / name, "f", line)
+        run_available(to_batches(text_stream(session, tmp_path / name), out, scratch_path(spark, f"new-{name}")))
     assert sorted(r.value for r in session.read.parquet(out).collect()) == ["x", "y"]
 
 
