@@ -327,7 +327,10 @@ def _context_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, span: int = SPAN, group: int = GROUP) -> DataFrame:
-    """digest, spans (array of from, to in bytes) of the ``texts`` (digest, text) that repeat something."""
+    """digest, found (array of p, ranges) of the ``texts`` (digest, text) that repeat something.
+
+    Ranges stay lists beside their anchors until each text is cut, so that no row is multiplied.
+    """
     names = ["key", "context", "p", "before", "behind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,15 +360,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, span: int = SPAN, gro
     copied = contexts.filter("n > 1").select("key", "context", whole.cast("array<struct<lo: int, hi: int>>").alias("ranges"))
     ranges = copied.unionByName(ranges.filter(F.size("ranges") > 0))
     hit = members.select("digest", "key", "context", "p").join(ranges, ["key", "context"])
-    hit = hit.select("digest", "p", F.explode("ranges").alias("r")).filter("r.lo <= r.hi")
-    spans = F.struct((F.col("p") - F.col("r.hi")).alias("from"), (F.col("p") - F.col("r.lo") + length).alias("to"))
-    return hit.groupBy("digest").agg(F.collect_set(spans).alias("spans"))
+    return hit.groupBy("digest").agg(F.collect_set(F.struct("p", "ranges")).alias("found"))
 
 
-def joined_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs of the spans' bytes."""
+def joined_spans(found: list[dict] | None, length: int = LENGTH) -> list[tuple[int, int]]:
+    """Maximal runs of the bytes of the strings that start lo to hi bytes before each p."""
+    spans = {(x["p"] - r["hi"], x["p"] - r["lo"] + length) for x in found or () for r in x["ranges"] if r["lo"] <= r["hi"]}
     out: list[tuple[int, int]] = []
-    for x in sorted((s["from"], s["to"]) for s in spans or ()):
+    for x in sorted(spans):
         if out and x[0] <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], x[1]))
         else:
@@ -382,7 +384,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     boxed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     boxed = boxed.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     spans = repeated_spans(boxed.select("digest", "text"), length, span, group)
-    joined = boxed.join(spans, "digest", "left").select("row", "text", "spans")
+    joined = boxed.join(spans, "digest", "left").select("row", "text", "found")
     runs = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,7 +392,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
             sizes, cut, kept = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 b, at, parts = text.encode("utf-8", "surrogatepass"), 0, []
-                removed = joined_spans(found)
+                removed = joined_spans(found, length)
                 for x, y in removed:
                     parts.append(b[at:x])
                     at = y
