@@ -46,6 +46,9 @@ BAD = [
     order(user_id=True),
     order(gmv={"a": 1}),
     order(user_id=1e300),
+    order(gmv=float("nan")),
+    order(gmv=float("inf")),
+    order().replace('"', "'"),
 ]
 NOT_ROUTED = [
     without("event"),

@@ -70,3 +70,21 @@ def test_registered_functions(spark):
         "event_day(1641885053000)"
     )
     assert rows(got) == [("PH", "", 1642157787000, "3d:VN2021-08-04", "36352:ID2021-08-04", "2024-02-29", "2022-01-11")]
+
+
+def test_hours_do_not_pass_through_the_session_zone(spark):
+    """The test session's zone skips 02:00 to 03:00 on this day; UTC hours must not."""
+    from ordertide.functions.scalars import ntz_from_millis, ntz_to_millis, truncate_ntz_hour
+
+    times = [1710037800000, 1710041400000, -1, 0, 1710041400123]  # the first two: 02:30 and 03:30 on 2024-03-10
+    df = spark.createDataFrame([(t,) for t in times], "ms bigint").withColumn("ts", ntz_from_millis("ms"))
+    got = df.select("ms", ntz_to_millis("ts"), ntz_to_millis(truncate_ntz_hour("ts"))).collect()
+    assert [tuple(r) for r in got] == [(t, t, t - t % 3600000) for t in times]
+
+
+def test_sql_day_of_far_times_is_null(spark):
+    from ordertide.functions.sql import register_functions
+
+    register_functions(spark)
+    far = spark.sql("SELECT event_day(100000000000000000) a, event_day(-100000000000000000) b, event_day(NULL) c").head()
+    assert tuple(far) == (None, None, None)
