@@ -67,8 +67,14 @@ def ntz_literal(value) -> Column:
 
 
 def ntz_from_millis(ms) -> Column:
-    """UTC wall-clock timestamp (without zone) of epoch milliseconds."""
-    return F.timestamp_add("MILLISECOND", _col(ms), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    """UTC wall-clock timestamp (without zone) of epoch milliseconds; null outside the years 1 to 9999."""
+    ms = _col(ms)
+    return F.when(is_calendar_time(ms), F.timestamp_add("MILLISECOND", ms, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
+
+
+def is_calendar_time(ms) -> Column:
+    """Whether epoch milliseconds fall into the years 1 to 9999; null for null."""
+    return _col(ms).between(_MIN_MS, _MAX_MS)
 
 
 def ntz_to_millis(ts) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import (
     MINUTE_MS,
+    is_calendar_time,
     ntz_from_millis,
     ntz_literal,
     timestamp_from_millis,
@@ -30,7 +31,9 @@ def rollup_minute(
     """``count`` and the sum of each metric per (minute, dimensions); ``minute_ts`` is UTC.
 
     On a stream the minute is a tumbling window that is emitted once the watermark has passed it.
+    Rows whose time has no calendar date are left out in both modes; ``far_times`` gives them.
     """
+    df = df.where(F.coalesce(is_calendar_time(event_time), F.lit(True)))
     aggs = [F.count(F.lit(1)).alias("count"), *[F.sum(m).alias(m) for m in metrics]]
     if df.isStreaming:
         df = df.withColumn("__ts", timestamp_from_millis(event_time)).withWatermark("__ts", delay)
@@ -42,6 +45,11 @@ def rollup_minute(
     return grouped.select(ntz_from_millis(minute).alias("minute_ts"), *dimensions, "count", *metrics)
 
 
+def far_times(df: DataFrame, event_time: str = "event_time") -> DataFrame:
+    """The rows that a roll-up leaves out: their time is outside the years 1 to 9999."""
+    return df.where(~is_calendar_time(event_time))
+
+
 def with_hour(rollup: DataFrame) -> DataFrame:
     """Add the partition column of the stored roll-up: its hour."""
     return rollup.withColumn("hour", truncate_ntz_hour("minute_ts"))

@@ -163,3 +163,12 @@ def test_kafka_options():
 def test_records(spark):
     df = spark.sql("SELECT CAST('x' AS BINARY) AS value, timestamp_millis(1999) AS timestamp, 3 AS partition")
     assert rows(records(df, ["partition"])) == [("x", 1, 3)]
+
+
+def test_far_times_neither_stop_a_rollup_nor_vanish(spark):
+    from ordertide.operators.rollup import far_times, rollup_minute
+
+    data = [(1641885053000, "ID", 1.0), (10**17, "ID", 2.0), (-(10**17), "PH", 3.0)]
+    df = spark.createDataFrame(data, "event_time bigint, country string, gmv double")
+    assert [(r["country"], r["count"], r["gmv"]) for r in rollup_minute(df, ["gmv"]).collect()] == [("ID", 1, 1.0)]
+    assert sorted(r["gmv"] for r in far_times(df).collect()) == [2.0, 3.0]
