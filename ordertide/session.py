@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Scratch paths handed out in this thread since a ``recorded_scratch`` began.
+_recorded: ContextVar[list[str] | None] = ContextVar("recorded_scratch", default=None)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -28,7 +33,31 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so a rerun cannot meet old files."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (recorded := _recorded.get()) is not None:
+        recorded.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The scratch paths that this thread takes meanwhile, for ``remove_scratch`` once nothing reads them."""
+    outer, paths = _recorded.get(), []
+    token = _recorded.set(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.reset(token)
+        if outer is not None:
+            outer.extend(paths)
+
+
+def remove_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch tables that no DataFrame still in use reads, in whatever store they are."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
