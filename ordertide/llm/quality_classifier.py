@@ -7,7 +7,7 @@ its label. A hashed linear scorer (logistic regression on words and word shapes
 buckets) is fitted to the posteriors of a bounded sample and judges every document.
 
 The votes, the patterns and the scores cover all rows. ``SAMPLE`` bounds the rows that are fitted; they
-are those with the least hash of id and text.
+are those with the least hash of id and text, rows that repeat both counted once.
 """
 
 from __future__ import annotations
@@ -159,9 +159,12 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     counted = boxed.select("text").mapInArrow(voted, "votes array<int>").groupBy("votes").agg(F.count("*").alias("n"))
     patterns = [(list(r["votes"]), r["n"]) for r in counted.collect()]
     posterior = fit_votes(patterns)[2] if patterns else {}
-    chosen = docs.select(tie.alias("tie"), docs[text_col].cast("string").alias("text")).filter("text is not null")
+    hashed = docs.select(tie.alias("tie"), docs[text_col].cast("string").alias("text")).filter("text is not null")
+    # Hashes alone are ordered; texts are read for those that were chosen, each once.
+    last = hashed.select("tie").distinct().orderBy("tie").limit(sample).agg(F.max("tie")).head()[0]
+    chosen = hashed.filter(F.col("tie") <= F.lit(last).cast("long")).groupBy("tie").agg(F.min("text").alias("text"))
     features, rows = Features(), []
-    for _, text in chosen.orderBy("tie").limit(sample).toLocalIterator():
+    for _, text in chosen.orderBy("tie").toLocalIterator():
         if words_of(text):
             rows.append((*features.of(text), posterior[tuple(votes(text))]))
     sent = spark.sparkContext.broadcast(fit_scorer(rows).astype(np.float32))
