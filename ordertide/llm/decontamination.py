@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.rows import sliced
-from ordertide.session import settle
+from ordertide.session import fits, settle
 
 WINDOW = 13
 #: A segment is closed at the first document end at or past so many words.
 SEGMENT_WORDS = 1 << 20
 #: Words of phrases that are sent to the tasks at a time.
 BLOCK_WORDS = 1 << 20
+#: Numbers of contaminated rows that may be sent to all tasks; beyond that they are joined.
+SENT_IDS = 500_000
 
 SEGMENT = (
     "segment bigint, doc_ids array<bigint>, n_words array<bigint>, "
@@ -273,5 +275,5 @@ def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", i
     boxed = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
     stored = settle(boxed, "numbered")
     found = contamination(stored.select("uid", "text"), items, "uid", "text", item_col, item_text_col)
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("uid"))
-    return stored.join(bad, "uid", "left_anti").select("row.*")
+    bad = settle(found.filter("contaminated").select(F.col("doc_id").alias("uid")), "contaminated")
+    return stored.join(F.broadcast(bad) if fits(bad, SENT_IDS) else bad, "uid", "left_anti").select("row.*")
