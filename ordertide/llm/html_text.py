@@ -153,11 +153,13 @@ def _flat(node: Node) -> str:
 
 
 def _strings(node: Node) -> Iterator[str]:
-    for x in node.items:
+    stack: list = list(reversed(node.items))
+    while stack:
+        x = stack.pop()
         if isinstance(x, str):
             yield x
         elif not x.cut:
-            yield from _strings(x)
+            stack += reversed(x.items)
 
 
 def _rank(node: Node) -> float:

@@ -43,6 +43,14 @@ def test_clashing_columns(spark):
     assert sorted(r["n_chars"] for r in extract_pages(df).collect()) == [0, len(main_text(PAGE))]
 
 
+def test_deeply_nested_inline_elements():
+    words = "deep text, with a comma, long enough to score"
+    for name in ("b", "font", "span"):
+        for close in ("", f"</{name}>" * 3000):
+            assert main_text("<div><p>" + f"<{name}>" * 3000 + words + close + "</p></div>") == words
+    assert main_text("<p>" + "".join(f"<b>w{i}, " for i in range(3000)) + "</p>") == ", ".join(f"w{i}" for i in range(3000)) + ","
+
+
 def test_names_are_split(spark):
     counts = {"river": 50, "stone": 40, "riverstone": 0, "run": 9, "runs": 3}
     assert split_name("riverstoneruns", counts, 1000) == ["river", "stone", "runs"]
