@@ -1,8 +1,16 @@
 """Operator 1: near-duplicate paragraphs by MinHash banding.
 
-Paragraphs are the lines of a text. Those with the same set of five-word shingles are one class and
-meet once. Each class has a sketch of minwise tokens, cut into ``BANDS`` bands of ``ROWS``; classes that
-agree in a whole band collide. Ten bands of two miss a pair at the threshold of 0.75 with probability
+Paragraphs are the lines of a text that have five words or more, the length of one shingle; a character
+of a script without spaces counts as a word. A passage pasted into a longer line is no near-duplicate of
+that line, so the lines that stay are cut into passages, which are compared in the same way: sentences,
+and those of more than ``LONG`` words again where a pair of words has the least hash of the ``NEAR``
+places on either side. Both cuts follow from the words around them, so that the same words are cut alike
+in other surroundings. As passages are taken from lines that stay, one of each cluster is kept.
+
+Paragraphs with the same set of five-word shingles are one class and meet once. Classes of up to
+``FEW`` shingles meet by pairs among the least of them, enough that no pair at the threshold is missed.
+Larger ones have a sketch of minwise tokens, cut into ``BANDS`` bands of ``ROWS``, and collide when they
+agree in a whole band. Ten bands of two miss a pair at the threshold of 0.75 with probability
 (1 - 0.75 ** 2) ** 10, 3e-4, and a pair at 0.9 with 6e-8. Colliding classes are joined, verified by the
 exact Jaccard similarity of their full shingle sets, and clustered by connected components. Of each
 cluster the first paragraph, by document and place, stays; the others are removed.
@@ -13,7 +21,10 @@ Crowded bands are handled as in operator 2: links to one pivot first, then only
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.components import components
-from ordertide.llm.near_dedup import PERCENT, links_in, shingle_sets, sketch
+from ordertide.llm.near_dedup import PERCENT, SENT_IDS, SHINGLE, links_in, shingle_sets, sketch, word_hashes
 from ordertide.llm.rows import mixed, sliced
-from ordertide.session import settle
+from ordertide.session import fits, settle
 
 BANDS, ROWS = 10, 2
-#: Shorter paragraphs are not looked at: headings, labels and bullets repeat for good reasons.
-MIN_WORDS = 10
+#: Shorter paragraphs have no shingle and are not looked at.
+MIN_WORDS = SHINGLE
+#: Classes of so many shingles meet by pairs of their least ones, larger ones by bands.
+FEW = 11
+#: Sentences of more words are cut where a pair of words has the least hash of so many on either side.
+LONG, NEAR = 40, 4
+
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+_END = re.compile("[.!?\u2026\u0964\u061f]+[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]+|[\u3002\uff01\uff1f]+[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]*")
 
 
 def band_keys(sketches: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -41,38 +59,120 @@ def band_keys(sketches: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
     return keys
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc (number of the row), doc_id, place, text, class of every paragraph long enough."""
+def spaced(text: str) -> str:
+    """``text`` with each character of a script without spaces as a word of its own."""
+    return text if text.isascii() else _UNSPACED.sub(r" \1 ", text)
+
+
+def _long_enough(text: str) -> bool:
+    return len(spaced(text).encode("utf-8", "surrogatepass").split(None, MIN_WORDS - 1)) == MIN_WORDS
+
+
+def passages(line: str) -> list[tuple[int, int]]:
+    """Where the passages of a line start and stop; a shorter sentence belongs to the one before."""
+    out: list[list[int]] = []
+    at = 0
+    for stop in [*[m.end() for m in _END.finditer(line)], len(line)]:
+        if stop == at:
+            continue
+        if out and not _long_enough(line[at:stop]):
+            out[-1][1] = stop
+        else:
+            out.append([at, stop])
+        at = stop
+    return [cut for a, b in out for cut in _cut(line, a, b)]
+
+
+def _cut(line: str, start: int, stop: int) -> list[tuple[int, int]]:
+    part = line[start:stop]
+    words = [m.span() for m in _WORD.finditer(part)]
+    if len(words) <= LONG:
+        return [(start, stop)]
+    with np.errstate(over="ignore"):
+        hashes = word_hashes(" ".join(part[a:b] for a, b in words).encode("utf-8", "surrogatepass"))[0]
+        pairs = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+    padded = np.concatenate([np.zeros(NEAR, np.uint64), pairs, np.zeros(NEAR, np.uint64)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * NEAR + 1)
+    least = (pairs < around[:, :NEAR].min(axis=1)) & (pairs <= around[:, NEAR + 1 :].min(axis=1))
+    edges = [start, *[start + words[k][0] for k in np.flatnonzero(least).tolist()], stop]
+    return list(zip(edges[:-1], edges[1:]))
+
+
+_WORD = re.compile(_UNSPACED.pattern + "|(?:(?!" + _UNSPACED.pattern + ")[^ \\t\\n\\v\\f\\r])+")
+
+
+def signatures(texts: list[str], percent: int = PERCENT) -> tuple[list[bytes], list[list[int]]]:
+    """The class of each text, and the keys under which it meets similar ones."""
+    with np.errstate(over="ignore"):
+        sets = shingle_sets([spaced(t) for t in texts])
+        keys: list[list[int]] = [[] for _ in sets]
+        sized = defaultdict(list)
+        for i, s in enumerate(sets):
+            sized[len(s)].append(i)
+        few = FEW if percent > 66 else 0
+        for n, which in sized.items():
+            made = []
+            if 2 < n and percent * n <= 100 * few:
+                least = np.stack([sets[i][: n + 2 - -(-percent * n // 100)] for i in which])
+                made += [mixed(mixed(least[:, i]) * np.uint64(0x9E3779B97F4A7C15) + least[:, j]) for i, j in combinations(range(least.shape[1]), 2)]
+            if n > few:
+                made += list(band_keys(np.stack([sketch(sets[i]) for i in which])).T)
+            if made:
+                for i, row in zip(which, np.stack(made, axis=1).view(np.int64).tolist()):
+                    keys[i] = row
+    return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], keys
+
+
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc (number of the row), doc_id, place, text, class, keys of every paragraph long enough."""
     taken = docs.select(
         F.monotonically_increasing_id().alias("doc"), docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")
     )
-    names = ["doc", "doc_id", "place", "text", "class"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary()]
+    names = ["doc", "doc_id", "place", "text", "class", "keys"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 1_000_000):
             rows: list[tuple] = []
             for doc, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for place, line in enumerate((text or "").split("\n")):
-                    if len(line.encode("utf-8", "surrogatepass").split(None, MIN_WORDS - 1)) == MIN_WORDS:
+                    if _long_enough(line):
                         rows.append((doc, doc_id, place, line))
-            with np.errstate(over="ignore"):
-                sets = shingle_sets([r[3] for r in rows]) if rows else []
-            made = [[r[k] for r in rows] for k in range(4)] + [[hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]]
+            made = [[r[k] for r in rows] for k in range(4)] + list(signatures([r[3] for r in rows], percent) if rows else ([], []))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)], names=names)
 
-    return taken.mapInArrow(run, "doc bigint, doc_id bigint, place int, text string, class binary")
+    return taken.mapInArrow(run, "doc bigint, doc_id bigint, place int, text string, class binary, keys array<bigint>")
 
 
-def duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc, doc_id, place, text, cluster, removed of every paragraph long enough.
+def line_passages(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """line (uid of the line), doc, doc_id, place, start, text, class, keys of every passage long enough."""
+    taken = lines.select(F.col("uid").alias("line"), "doc", "doc_id", "place", "text")
+    names = ["line", "doc", "doc_id", "place", "start", "text", "class", "keys"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.list_(pa.int64())]
 
-    Null and empty texts have no paragraphs. Repeated rows are documents of their own, so that all but
-    one of them lose their paragraphs; ties go to the row read first. An empty table stays empty.
-    """
-    stored = settle(paragraphs(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "paragraphs")
-    classes = settle(stored.groupBy("class").agg(F.min("uid").alias("rep")), "classes")
-    reps = stored.join(classes, stored["uid"] == classes["rep"]).select("uid", "text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", 1_000_000):
+            rows = []
+            for *known, line in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += [(*known, a, line[a:b]) for a, b in passages(line) if _long_enough(line[a:b])]
+            made = [[r[k] for r in rows] for k in range(6)] + list(signatures([r[5] for r in rows], percent) if rows else ([], []))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)], names=names)
+
+    schema = "line bigint, doc bigint, doc_id bigint, place int, start int, text string, class binary, keys array<bigint>"
+    return taken.mapInArrow(run, schema)
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df, SENT_IDS) else df
+
+
+def clustered(units: DataFrame, percent: int, *order: str) -> DataFrame:
+    """``units`` (with uid, text, class, keys; stored) with cluster, and removed for all but its first by ``order``."""
+    classes = settle(units.groupBy("class").agg(F.min("uid").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "classes")
+    entries = classes.select(F.explode("keys").alias("node"), F.col("rep").alias("uid"))
+    shared = settle(entries.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"), "shared")
+    entries = settle(entries.join(_sent(shared), "node"), "entries")
+    need = settle(entries.select("uid").distinct(), "meeting")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 1_000_000):
@@ -80,35 +180,51 @@ def duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 made = [sketch(s).tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["uid", "sketch"])
 
-    sketches = settle(reps.mapInArrow(run, "uid bigint, sketch binary"), "sketches")
+    words = F.regexp_replace("text", _UNSPACED.pattern, " $1 ")
+    meeting = settle(units.select("uid", words.alias("text")).join(_sent(need), "uid"), "meeting-texts")
+    sketches = settle(meeting.mapInArrow(run, "uid bigint, sketch binary"), "sketches")
+    roots = components(links_in(entries, meeting, sketches, percent, 1))
+    named = classes.join(roots, classes["rep"] == roots["uid"], "left").filter("copies > 1 or root is not null")
+    named = settle(named.select("class", F.coalesce("root", "rep").alias("root")), "named")
+    placed = units.drop("keys").join(_sent(named), "class", "left")
+    ranked = F.struct(F.col("doc_id").isNull(), *order, "uid")
+    first = placed.filter("root is not null").groupBy("root").agg(F.min(ranked).alias("first"))
+    first = settle(first.select(F.col("root").alias("cluster"), F.col("first.uid").alias("first_uid")), "first")
+    placed = placed.withColumn("cluster", F.coalesce("root", "uid")).drop("root", "class")
+    joined = placed.join(_sent(first), "cluster", "left")
+    return joined.withColumn("removed", F.coalesce(F.col("uid") != F.col("first_uid"), F.lit(False))).drop("first_uid")
+
 
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(batch.num_rows, -1)
-                with np.errstate(over="ignore"):
-                    keys = band_keys(raw).view(np.int64).ravel()
-                uids = np.repeat(batch.column(0).to_numpy(False), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(uids)], names=["node", "uid"])
+def duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc, doc_id, place, text, cluster, removed, passages of every paragraph long enough.
 
-    entries = sketches.mapInArrow(banded, "node bigint, uid bigint")
-    roots = settle(components(links_in(entries, stored, sketches, percent, 1)), "clusters")
-    named = classes.join(roots, classes["rep"] == roots["uid"], "left").select("class", F.coalesce("root", "rep").alias("cluster"))
-    placed = stored.join(settle(named, "named"), "class")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "doc", "place")
-    first = placed.groupBy("cluster").agg(F.min(order).alias("first"))
-    joined = placed.join(first, "cluster")
-    stays = (F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))
-    return joined.select("doc", "doc_id", "place", "text", "cluster", (~stays).alias("removed"))
+    ``passages`` are the start and length, in characters, of what is removed inside a line that stays.
+    Null and empty texts have no paragraphs. Repeated rows are documents of their own, so that all but
+    one of them lose their paragraphs; ties go to the row read first. An empty table stays empty.
+    """
+    stored = settle(paragraphs(docs, id_col, text_col, percent).withColumn("uid", F.monotonically_increasing_id()), "paragraphs")
+    lines = settle(clustered(stored, percent, "doc_id", "doc", "place"), "lines")
+    parts = settle(line_passages(lines.filter("not removed"), percent).withColumn("uid", F.monotonically_increasing_id()), "passages")
+    judged = clustered(parts, percent, "doc_id", "doc", "place", "start").filter("removed")
+    cut = judged.select("line", F.struct("start", F.length("text").alias("length")).alias("cut"))
+    cut = cut.groupBy("line").agg(F.array_sort(F.collect_list("cut")).alias("passages"))
+    joined = lines.join(cut, lines["uid"] == cut["line"], "left")
+    return joined.select("doc", "doc_id", "place", "text", "cluster", "removed", "passages")
 
 
 def paragraph_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_paragraphs (long enough), n_removed, n_chars_removed, removed_places of every row that has any."""
+    """doc_id, n_paragraphs (long enough), n_removed, n_chars_removed, removed_places, n_passages_removed,
+    removed_passages (place, start, length) of every row that has any. Passages are counted in n_chars_removed.
+    """
     found = duplicate_paragraphs(docs, id_col, text_col)
     gone = F.col("removed")
+    inside = F.coalesce(F.aggregate("passages", F.lit(0), lambda a, x: a + x["length"]), F.lit(0))
+    parts = F.transform("passages", lambda x: F.struct(F.col("place"), x["start"].alias("start"), x["length"].alias("length")))
     return found.groupBy("doc", "doc_id").agg(
         F.count("*").alias("n_paragraphs"),
         F.sum(gone.cast("long")).alias("n_removed"),
-        F.sum(F.when(gone, F.length("text")).otherwise(0)).cast("long").alias("n_chars_removed"),
+        F.sum(F.when(gone, F.length("text")).otherwise(inside)).cast("long").alias("n_chars_removed"),
         F.array_sort(F.collect_list(F.when(gone, F.col("place")))).alias("removed_places"),
+        F.sum(F.coalesce(F.size("passages"), F.lit(0))).cast("long").alias("n_passages_removed"),
+        F.array_sort(F.flatten(F.collect_list(parts))).alias("removed_passages"),
     ).drop("doc")

@@ -7,7 +7,7 @@ import cases
 from ordertide.llm import near_dedup, suffix_dedup
 from ordertide.llm.components import components
 from ordertide.llm.near_dedup import near_duplicate_report, near_duplicates, without_near_duplicates
-from ordertide.llm.paragraph_dedup import duplicate_paragraphs, paragraph_report
+from ordertide.llm.paragraph_dedup import duplicate_paragraphs, paragraph_report, passages
 from ordertide.llm.suffix_dedup import repeat_report, without_repeats
 
 
@@ -108,6 +108,57 @@ def test_paragraphs(spark):
     assert paragraph_report(cases.frame(spark, [])).count() == 0
 
 
+def clusters(units):
+    """The numbers of the units that brute force removes: all but the first of each component."""
+    sets = []
+    for t in units:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    root = list(range(len(units)))
+    for i in range(len(units)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return {i for i, r in enumerate(root) if i != r}
+
+
+@pytest.mark.parametrize("ends", [True, False])
+def test_planted_passages_equal_brute_force(spark, ends):
+    """Repeated short lines, and passages of 50 words and more inside longer lines, with and without sentences."""
+    rng = random.Random(7 + ends)
+    vocabulary = [f"w{i}" for i in range(3000)]
+
+    def text(n):
+        words = rng.choices(vocabulary, k=n)
+        return " ".join(w + "." if ends and rng.random() < 0.1 else w for w in words)
+
+    pasted = [text(rng.randint(50, 90)) for _ in range(4)]
+    rows = []
+    for k in range(40):
+        lines = [text(rng.randint(5, 20)) for _ in range(2)] + ["a line of six words here", text(60) + " " + pasted[k % 4] + " " + text(60)]
+        if k % 5 == 0:
+            lines.append(" ".join(lines[0].split() + ["more"]))
+        rows.append("\n".join(lines))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3, "doc_id")
+    got = duplicate_paragraphs(df).collect()
+    lines = [(d, p, t) for d, r in enumerate(rows) for p, t in enumerate(r.split("\n"))]
+    gone = clusters([t for _, _, t in lines])
+    assert len(got) == len(lines) and {(r["doc_id"], r["place"]) for r in got if r["removed"]} == {lines[i][:2] for i in gone}
+    parts = [(d, p, a, t[a:b]) for i, (d, p, t) in enumerate(lines) if i not in gone for a, b in passages(t) if len(t[a:b].split()) >= 5]
+    inside = clusters([x[3] for x in parts])
+    want = {(*parts[i][:3], len(parts[i][3])) for i in inside}
+    assert {(r["doc_id"], r["place"], x["start"], x["length"]) for r in got for x in r["passages"] or ()} == want
+    assert len({w[0] for w in want if w[1] == 3}) == 36
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    rows = ["one two three four five", "one two three four five\nfour words are few", "\u6211\u4eec\u4eca\u5929\u53bb\u516c\u56ed", "x\n\u6211\u4eec\u4eca\u5929\u53bb\u516c\u56ed"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    assert {(r["doc_id"], r["place"]) for r in duplicate_paragraphs(df).collect() if r["removed"]} == {(1, 0), (3, 1)}
+
+
 @pytest.mark.parametrize("report", [near_duplicate_report, repeat_report])
 def test_empty_tables(spark, report):
     assert report(cases.frame(spark, [])).count() == 0
