@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,8 +37,11 @@ MIN_WORDS = 50
 LOWER, UPPER = 6.0, 6.0
 #: Least robust standard deviation of log perplexity, so that a uniform language rejects nothing.
 LEAST_SPREAD = 0.02
-#: Grams of one language's model that may be sent to every task (16 bytes each).
-SENT_GRAMS = 16_000_000
+#: Grams of all models together, and languages, that may be sent to every task (16 bytes a gram), the
+#: smallest models first. Texts of the other languages are scored by a join.
+SENT_GRAMS, SENT_LANGS = 8_000_000, 1000
+#: Steps of log probability in which a join adds up, so that no order of rows changes a sum.
+STEPS = 1 << 30
 #: Distinct grams that a task holds before it passes them on.
 HELD_GRAMS = 400_000
 HELD_WORDS = 200_000
@@ -100,6 +104,15 @@ def window_hashes(codes: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
+def gram_sums(counted: dict[str, int], order: int) -> tuple[list[str], list[int]]:
+    """The different grams of counted words, and how often each stands in them."""
+    codes, at, many = gram_windows(list(counted), order)
+    _, one, which = np.unique(window_hashes(codes, at, order), return_index=True, return_inverse=True)
+    sums = np.bincount(which, np.repeat(np.fromiter(counted.values(), np.float64, len(counted)), many))
+    text = codes[at[one][:, None] + np.arange(order)].tobytes().decode("utf-32-le", "surrogatepass")
+    return [text[k : k + order] for k in range(0, len(text), order)], sums.astype(np.int64).tolist()
+
+
 def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> DataFrame:
     """lang (null: empty), gram, n over all texts. A task holds a bounded number of words and grams."""
     taken = docs.select(
@@ -116,12 +129,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 if not counted:
                     continue
                 into = grams.setdefault(lang, {})
-                codes, at, many = gram_windows(list(counted), order)
-                _, one, which = np.unique(window_hashes(codes, at, order), return_index=True, return_inverse=True)
-                sums = np.bincount(which, np.repeat(np.fromiter(counted.values(), np.float64, len(counted)), many))
-                text = codes[at[one][:, None] + np.arange(order)].tobytes().decode("utf-32-le", "surrogatepass")
-                for k, n in enumerate(sums.astype(np.int64).tolist()):
-                    g = text[k * order : (k + 1) * order]
+                for g, n in zip(*gram_sums(counted, order)):
                     into[g] = into.get(g, 0) + n
             held.clear()
 
@@ -199,16 +207,51 @@ def gram_hashes(texts: list[str], order: int) -> np.ndarray:
     return h
 
 
+def entry_hashes(k: int, grams: list[str]) -> np.ndarray:
+    """Hashes of the grams of order ``k``, or of the contexts of order ``-k``."""
+    return np.zeros(len(grams), np.uint64) if k == -1 else gram_hashes(grams, k if k > 0 else -k - 1)
+
+
 class HashModel:
     """One language's model in sorted hash arrays: log probabilities per order, back-off per context."""
 
     def __init__(self, rows: list[tuple[int, str, float]], order: int = ORDER):
+        kinds = np.array([r[0] for r in rows], np.int8)
+        hashes = np.zeros(len(rows), np.uint64)
+        for k in set(kinds.tolist()):
+            at = np.flatnonzero(kinds == k)
+            hashes[at] = entry_hashes(k, [rows[i][1] for i in at.tolist()])
+        self._hold(kinds, hashes, np.array([r[2] for r in rows], np.float64), order)
+
+    @classmethod
+    def collected(cls, model: DataFrame, order: int = ORDER) -> HashModel:
+        """The model of the rows (k, gram, v) of ``model``, hashed in the tasks; 17 bytes a row reach the driver's arrays."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kinds, hashes = batch.column(0).to_numpy(False), np.zeros(batch.num_rows, np.uint64)
+                grams = batch.column(1).to_pylist()
+                for k in set(kinds.tolist()):
+                    at = np.flatnonzero(kinds == k)
+                    hashes[at] = entry_hashes(k, [grams[i] for i in at.tolist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes.view(np.int64)), batch.column(2)], names=["k", "hash", "v"])
+
+        kinds, hashes, values = array("b"), array("q"), array("d")
+        rows = model.select("k", "gram", "v").mapInArrow(run, "k int, hash bigint, v double")
+        for k, h, v in rows.toLocalIterator(prefetchPartitions=True):
+            kinds.append(k)
+            hashes.append(h)
+            values.append(v)
+        made = cls([], order)
+        made._hold(np.array(kinds, np.int8), np.array(hashes, np.int64).view(np.uint64), np.array(values, np.float64), order)
+        return made
+
+    def _hold(self, kinds: np.ndarray, hashes: np.ndarray, values: np.ndarray, order: int) -> None:
         self.order, self.arrays, self.memory = order, {}, {}
-        for k in {r[0] for r in rows}:
-            part = [(g, v) for kk, g, v in rows if kk == k]
-            hashes = gram_hashes([g for g, _ in part], k if k > 0 else -k - 1) if k != -1 else np.zeros(1, np.uint64)
-            by = np.argsort(hashes, kind="stable")
-            self.arrays[k] = (hashes[by], np.array([v for _, v in part], np.float64)[by])
+        for k in np.unique(kinds).tolist():
+            part = np.flatnonzero(kinds == k)
+            by = part[np.argsort(hashes[part], kind="stable")]
+            self.arrays[k] = (hashes[by], values[by])
 
     def _find(self, k: int, texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
         keys, values = self.arrays.get(k, (np.empty(0, np.uint64), np.empty(0)))
@@ -259,7 +302,8 @@ def scored(
 ) -> DataFrame:
     """``row`` (the columns ``carry``, by default all), lang, the base counts and log_perplexity (null without words) of each text of ``docs``.
 
-    Models are sent to the tasks language by language, each only if it has at most ``SENT_GRAMS``.
+    The smallest models are sent to the tasks, up to ``SENT_GRAMS`` and ``SENT_LANGS``. Texts of other
+    languages are scored by joining their grams to the model, which has all of them.
     """
     spark = docs.sparkSession
     model = settle(kneser_ney(settle(ngram_counts(docs, text_col, lang_col, order), "grams"), order), "model")
@@ -268,13 +312,13 @@ def scored(
         F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"),
         docs[text_col].cast("string").alias("text"),
     )
-    sizes = {r["lang"]: r["count"] for r in model.groupBy("lang").count().collect()}
-    sent = {}
-    for lang, n in sizes.items():
-        if n > SENT_GRAMS:
-            raise ValueError(f"the model of language {lang!r} has {n} entries; raise SENT_GRAMS for workers of that size")
-        rows = model.filter(F.col("lang") == lang).select("k", "gram", "v").toLocalIterator(prefetchPartitions=True)
-        sent[lang] = spark.sparkContext.broadcast(HashModel([tuple(r) for r in rows], order))
+    sizes = model.groupBy("lang").count().orderBy("count", "lang").limit(SENT_LANGS + 1).collect()
+    sent, total = {}, 0
+    for lang, n in sizes[:SENT_LANGS]:
+        total += n
+        if total > SENT_GRAMS:
+            break
+        sent[lang] = spark.sparkContext.broadcast(HashModel.collected(model.filter(F.col("lang") == lang), order))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,10 +328,10 @@ def scored(
             need: dict[str, set] = {}
             for lang, found in zip(langs, words):
                 need.setdefault(lang, set()).update(found)
-            known = {lang: sent[lang].value.word_scores(found) for lang, found in need.items() if found}
+            known = {lang: sent[lang].value.word_scores(found) for lang, found in need.items() if found and lang in sent}
             scores = []
             for lang, found in zip(langs, words):
-                if found:
+                if found and lang in known:
                     total = sum(map(known[lang].__getitem__, found))
                     scores.append(-total / (sum(map(len, found)) + len(found)))
                 else:
@@ -299,7 +343,37 @@ def scored(
             )
 
     fields = T.StructType.fromDDL("lang string, " + ", ".join(f"{n} bigint" for n in names) + ", log_perplexity double")
-    return boxed.mapInArrow(run, T.StructType([boxed.schema["row"], *fields.fields]))
+    if len(sent) == len(sizes):
+        return boxed.mapInArrow(run, T.StructType([boxed.schema["row"], *fields.fields]))
+    is_sent = F.col("lang").isin(list(sent))
+    small = boxed.filter(is_sent).mapInArrow(run, T.StructType([boxed.schema["row"], *fields.fields]))
+    large = settle(boxed.filter(~is_sent).withColumn("uid", F.monotonically_increasing_id()), "large-languages")
+    sums = joined_scores(large.select("uid", "lang", "text"), model.filter(~is_sent & (F.col("k") == order)), order)
+    numbered = large.select(F.struct("row", "uid").alias("row"), "lang", "text")
+    counted = numbered.mapInArrow(run, T.StructType([numbered.schema["row"], *fields.fields])).drop("log_perplexity")
+    joined = counted.withColumn("uid", F.col("row.uid")).join(sums, "uid", "left")
+    value = (-F.col("total") / F.lit(float(STEPS)) / (F.col("word_chars") + F.col("n_words"))).alias("log_perplexity")
+    return small.unionByName(joined.select(F.col("row.row").alias("row"), "lang", *names, value))
+
+
+def joined_scores(texts: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """uid, total (log probability in ``STEPS``) of each of ``texts`` (uid, lang, text) that has words.
+
+    Every gram of the texts must be in ``model`` (lang, gram, v).
+    """
+    types = [pa.int64(), pa.string(), pa.string(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", 1_000_000):
+            for uid, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if counted := Counter(words_of(text)):
+                    grams, n = gram_sums(counted, order)
+                    columns = [[uid] * len(n), [lang] * len(n), grams, n]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["uid", "lang", "gram", "n"])
+
+    grams = texts.mapInArrow(run, "uid bigint, lang string, gram string, n bigint")
+    steps = model.select("lang", "gram", F.round(F.col("v") * STEPS).cast("long").alias("steps"))
+    return grams.join(steps, ["lang", "gram"]).groupBy("uid").agg(F.sum(F.col("n") * F.col("steps")).alias("total"))
 
 
 def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lower: float = LOWER, upper: float = UPPER,

@@ -4,6 +4,7 @@ import random
 import pytest
 
 import cases
+from ordertide.llm import quality_rules
 from ordertide.llm.decontamination import WINDOW, build_index, clean_documents, contamination, search
 from ordertide.llm.quality_classifier import classify, fit_votes
 from ordertide.llm.quality_rules import END, HashModel, ORDER, START, kept_documents, kneser_ney, ngram_counts, quality, quality_report, word_grams
@@ -37,6 +38,19 @@ def test_model_sums_to_one(spark):
     assert END not in {g[0] for g in letters if len(g) > 1} and ORDER == 5
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_models_too_large_to_send(spark, monkeypatch, limit):
+    """No size stops the job, and a join gives the scores that a sent model gives."""
+    df = cases.frame(spark)
+    columns = ["doc_id", "n_words", "n_repeat_words", "base_failed", "kept", "log_perplexity"]
+    want = cases.plain(quality_report(df), *columns)
+    monkeypatch.setattr(quality_rules, "SENT_GRAMS", limit)
+    got = cases.plain(quality_report(df), *columns)
+    assert [r[:-1] for r in got] == [r[:-1] for r in want]
+    assert [r[-1] for r in got] == [r[-1] if r[-1] is None else pytest.approx(r[-1], rel=1e-7) for r in want]
+    assert kept_documents(df).columns == df.columns
+
+
 def test_garbage_is_out_of_band(spark):
     rng = random.Random(2)
     words = ["the", "river", "runs", "under", "stone", "bridges", "towards", "green", "fields", "again", "slowly", "every", "morning"]
