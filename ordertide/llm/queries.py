@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertide.llm.binary_output import token_shards_round_trip
+from ordertide.llm.centroids import cluster_report
 from ordertide.llm.decontamination import contamination
 from ordertide.llm.html_text import extraction_report
 from ordertide.llm.near_dedup import near_duplicate_report
+from ordertide.llm.oracles import ORACLES as ORACLES
 from ordertide.llm.packing import pack_documents
 from ordertide.llm.paragraph_dedup import paragraph_report
 from ordertide.llm.quality_classifier import classifier_report
@@ -62,6 +64,10 @@ def op10_positional_index(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_centroid_expressions(spark, sf_dir):
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_paragraph_minhash": op1_paragraph_minhash,
     "op2_chosen_path_join": op2_chosen_path_join,
@@ -73,6 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_plane_output": op8_bit_plane_output,
     "op9_weak_label_classifier": op9_weak_label_classifier,
     "op10_positional_index": op10_positional_index,
+    "op13_centroid_expressions": op13_centroid_expressions,
 }
-
-ORACLES: dict[str, str] = {}
