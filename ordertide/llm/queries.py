@@ -17,6 +17,7 @@ from ordertide.llm.paragraph_dedup import paragraph_report
 from ordertide.llm.quality_classifier import classifier_report
 from ordertide.llm.quality_rules import quality_report
 from ordertide.llm.suffix_dedup import repeat_report
+from ordertide.llm.token_alignment import alignment_report
 from ordertide.llm.url_filter import url_report
 
 
@@ -64,6 +65,10 @@ def op10_positional_index(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_run_skipping(spark, sf_dir):
+    return alignment_report(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_expressions(spark, sf_dir):
     return cluster_report(table(spark, sf_dir, "embeddings"))
 
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_plane_output": op8_bit_plane_output,
     "op9_weak_label_classifier": op9_weak_label_classifier,
     "op10_positional_index": op10_positional_index,
+    "op12_run_skipping": op12_run_skipping,
     "op13_centroid_expressions": op13_centroid_expressions,
 }
