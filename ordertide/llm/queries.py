@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordertide.llm.binary_output import token_shards_round_trip
 from ordertide.llm.centroids import cluster_report
 from ordertide.llm.decontamination import contamination
+from ordertide.llm.hidden_markov import likelihood_report
 from ordertide.llm.html_text import extraction_report
 from ordertide.llm.near_dedup import near_duplicate_report
 from ordertide.llm.oracles import ORACLES as ORACLES
@@ -65,6 +66,10 @@ def op10_positional_index(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hidden_markov(spark, sf_dir):
+    return likelihood_report(table(spark, sf_dir, "documents"))
+
+
 def op12_run_skipping(spark, sf_dir):
     return alignment_report(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_plane_output": op8_bit_plane_output,
     "op9_weak_label_classifier": op9_weak_label_classifier,
     "op10_positional_index": op10_positional_index,
+    "op11_hidden_markov": op11_hidden_markov,
     "op12_run_skipping": op12_run_skipping,
     "op13_centroid_expressions": op13_centroid_expressions,
 }
