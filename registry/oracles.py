@@ -248,6 +248,32 @@ judged AS (
 )"""
 
 
+def _in_turn(value: str, select: str) -> str:
+    """One recursive step for each request of a key, with the cell behind it."""
+    asked = _salted("CAST(CASE WHEN o_custkey % 5 = 0 THEN 5 ELSE o_custkey END AS VARCHAR)")
+    return f"""WITH RECURSIVE graded AS (
+  SELECT {_salted(CUSTKEY)} AS rowkey, c_name AS name, nullif(c_custkey % 4, 3) AS grade FROM customer
+),
+asked AS (
+  SELECT {asked} AS rowkey, o_orderkey, nullif(o_orderkey // 4 % 4, 3) AS expected, nullif(o_orderkey // 16 % 4, 3) AS value,
+         row_number() OVER (PARTITION BY {asked} ORDER BY o_orderdate, o_orderkey) AS turn
+  FROM orders
+),
+done AS (
+  SELECT rowkey, CAST(0 AS BIGINT) AS turn, max(grade) AS cell, CAST(NULL AS BIGINT) AS o_orderkey, false AS applied
+  FROM (SELECT DISTINCT rowkey FROM asked) LEFT JOIN graded USING (rowkey) GROUP BY rowkey
+  UNION ALL
+  SELECT d.rowkey, a.turn, CASE WHEN d.cell IS NOT DISTINCT FROM a.expected THEN {value} ELSE d.cell END,
+         a.o_orderkey, d.cell IS NOT DISTINCT FROM a.expected
+  FROM done d JOIN asked a ON a.rowkey = d.rowkey AND a.turn = d.turn + 1
+),
+after AS (
+  SELECT rowkey, name, CASE WHEN l.rowkey IS NULL THEN grade ELSE l.cell END AS grade
+  FROM graded FULL JOIN (SELECT rowkey, arg_max(struct_pack(c := cell), turn).c AS cell FROM done GROUP BY rowkey) l USING (rowkey)
+)
+""" + select
+
+
 def _upsert(writes: str) -> str:
     return f"""SELECT coalesce(t.rowkey, w.rowkey) AS rowkey, t.name,
        CASE WHEN w.rowkey IS NOT NULL THEN w.balance ELSE t.balance END AS balance
@@ -260,6 +286,9 @@ VISIT_JSON = (
 )
 ENRICHED = 'SELECT "offset", country, rate, gmv * rate AS gmv_usd FROM rated'
 
+TURNS = "SELECT o_orderkey, rowkey, applied FROM done WHERE turn > 0"
+AFTER_TURNS = "SELECT * FROM after WHERE name IS NOT NULL OR grade IS NOT NULL"
+
 ORACLES: dict[str, str] = {
     "fn_currency_to_country": _with(FEED, f'SELECT "offset", {_country("currency")} AS country FROM feed'),
     "fn_second_to_millisecond": _with(
@@ -495,6 +524,10 @@ FROM tab""",
     "kv_check_delete_table": _with(
         TABLE, CONDITIONAL, "SELECT rowkey, name, CASE WHEN NOT applied THEN balance END AS balance FROM judged"
     ),
+    "kv_check_put_sequence": _in_turn("a.value", TURNS),
+    "kv_check_put_sequence_table": _in_turn("a.value", AFTER_TURNS),
+    "kv_check_delete_sequence": _in_turn("NULL", TURNS),
+    "kv_check_delete_sequence_table": _in_turn("NULL", AFTER_TURNS),
     "stream_dedup_forever": _with(FEED, CLEAN, PAID, "SELECT DISTINCT country, order_id, user_id FROM paid"),
     "stream_dedup_ttl": _with(
         FEED, CLEAN, PAID, _first("firsts", "paid", ORDER_KEY, '"offset"'),

@@ -21,6 +21,7 @@ from ordertide.functions import (
 )
 from ordertide.functions.scalars import HOUR_MS, MINUTE_MS
 from ordertide.operators import keyed_table as kv
+from ordertide.operators import ordered_requests as ordered
 from ordertide.operators.decode import decode_fields, decode_orders, encode_json
 from ordertide.operators.dedup import first_per_key, first_unseen
 from ordertide.operators.filters import in_interval, paid_only, reject_late, today
@@ -573,6 +574,48 @@ def kv_check_delete_table(spark, sf):
     return kv.check_and_delete(_table(spark, sf), requests, "balance")[0]
 
 
+def _graded(spark, sf):
+    """Customers with a grade of 0 to 2; every fourth has none."""
+    return read_table(spark, sf, "customer").select(
+        salted_key("c_custkey").alias("rowkey"), F.col("c_name").alias("name"),
+        F.nullif(F.pmod("c_custkey", F.lit(4)), F.lit(3)).alias("grade"),
+    )
+
+
+def _grade_requests(spark, sf):
+    """A request for each stored order; one customer gets every fifth of them."""
+    asked = F.when(F.pmod("o_custkey", F.lit(5)) == 0, F.lit(5)).otherwise(F.col("o_custkey"))
+    number = F.floor(F.col("o_orderkey") / 4)
+    return read_table(spark, sf, "orders").select(
+        salted_key(asked).alias("rowkey"), "o_orderdate", "o_orderkey",
+        F.nullif(F.pmod(number, F.lit(4)), F.lit(3)).alias("expected"),
+        F.nullif(F.pmod(F.floor(number / 4), F.lit(4)), F.lit(3)).alias("value"),
+    )
+
+
+_TURN = ["o_orderdate", "o_orderkey"]
+
+
+def kv_check_put_sequence(spark, sf):
+    results = ordered.check_and_put_in_order(_graded(spark, sf), _grade_requests(spark, sf), "grade", _TURN)[1]
+    return results.select("o_orderkey", "rowkey", "applied")
+
+
+def kv_check_put_sequence_table(spark, sf):
+    return ordered.check_and_put_in_order(_graded(spark, sf), _grade_requests(spark, sf), "grade", _TURN)[0]
+
+
+def kv_check_delete_sequence(spark, sf):
+    requests = _grade_requests(spark, sf).drop("value")
+    results = ordered.check_and_delete_in_order(_graded(spark, sf), requests, "grade", _TURN)[1]
+    return results.select("o_orderkey", "rowkey", "applied")
+
+
+def kv_check_delete_sequence_table(spark, sf):
+    requests = _grade_requests(spark, sf).drop("value")
+    return ordered.check_and_delete_in_order(_graded(spark, sf), requests, "grade", _TURN)[0]
+
+
 # --- streams --------------------------------------------------------------------------------------------------
 
 
@@ -670,6 +713,7 @@ QUERIES = {
         log_last_offset, log_committed_offset, log_lag,
         kv_scan, kv_get, kv_put, kv_delete_row, kv_delete_column, kv_put_if_absent,
         kv_put_if_absent_table, kv_check_put, kv_check_put_table, kv_check_delete, kv_check_delete_table,
+        kv_check_put_sequence, kv_check_put_sequence_table, kv_check_delete_sequence, kv_check_delete_sequence_table,
         stream_dedup_forever, stream_dedup_ttl, stream_dedup_watermark, stream_rollup_minute,
         stream_rollup_txn, stream_txn_job, stream_txn_user_job, stream_txn_ttl_job,
     )
