@@ -27,8 +27,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence, larges
 
 
 def not_seen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``seen`` (null keys match null keys)."""
-    seen = seen.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
+    """Rows whose key is not in ``seen`` (null keys match null keys; a key that is seen often counts once)."""
+    seen = seen.select(*[F.col(k).alias(f"__s_{k}") for k in keys]).distinct()
     condition = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]
     return df.join(seen, condition, "left_anti")
 

@@ -26,10 +26,11 @@ from ordertide.operators.decode import decode_orders, encode_json
 from ordertide.operators.dedup import first_per_key
 from ordertide.operators.filters import paid_only, today
 from ordertide.operators.rates import enrich_usd, prepare_rates
-from ordertide.sinks.streams import to_batches
+from ordertide.sinks.streams import Sink, folder_sink, sink_from, to_sink
 from ordertide.streaming import dedup as stream_dedup
 from ordertide.streaming.event_time import JOB_DELAY, ROWTIME_DELAY, with_event_time
 from ordertide.streaming.rates import RateSnapshot
+from ordertide.streaming.seen_keys import SeenKeys, to_sink_once
 
 TXN_COLUMNS = ("gmv", "order_id", "user_id", "country", "event_time", "processing_time", "gmv_usd")
 USER_COLUMNS = ("user_id", "country", "event_time", "processing_time", "event_date")
@@ -87,16 +88,17 @@ class Job:
         keep: Sequence[str] = (),
         time_filter: bool = True,
         watermark: bool = True,
+        observe=None,
     ) -> DataFrame:
         """Decode, project and cut to the day: everything that needs no other row.
 
         The watermark only tracks the event time of orders. The projection leaves its column out, so
-        de-duplication drops no late row.
+        de-duplication drops no late row. ``observe`` counts records and malformed ones (``decode_orders``).
         """
         if self.parse:
             orders = self.parse(records)
         else:
-            orders = decode_orders(records, self.on_error, keep=keep)
+            orders = decode_orders(records, self.on_error, keep=keep, observe=observe)
         if orders.isStreaming and self.watermark and watermark:
             orders = with_event_time(orders, "create_time", self.watermark)
         rows = self.projection(orders, tz, keep)
@@ -141,13 +143,14 @@ class Job:
         time_filter: bool = True,
         collapse: bool = True,
         watermark: bool = True,
+        observe: str | None = None,
     ) -> DataFrame:
         """The stream up to and including the de-duplication; ``write`` adds rates per micro-batch.
 
         A stream can have one watermark: pass ``watermark=False`` when a roll-up follows, which sets
         its own.
         """
-        rows = self.prepare(records, as_of, tz, time_filter=time_filter, watermark=watermark)
+        rows = self.prepare(records, as_of, tz, time_filter=time_filter, watermark=watermark, observe=observe)
         if self.dedup == "ttl":
             return stream_dedup.with_ttl(rows, self.keys, self.ttl_ms, collapse=collapse)
         return stream_dedup.forever(rows, self.keys, collapse=collapse)
@@ -155,8 +158,8 @@ class Job:
     def write(
         self,
         records: DataFrame,
-        path: str,
-        checkpoint: str,
+        path: str | None = None,
+        checkpoint: str = "",
         rates: RateSnapshot | None = None,
         trigger: str | None = None,
         as_of: int | None = None,
@@ -164,14 +167,31 @@ class Job:
         rate_date: str = "processing",
         time_filter: bool = True,
         fmt: str = "parquet",
+        sink: Sink | dict[str, str] | None = None,
+        seen: SeenKeys | None = None,
+        arrival: Sequence[str] = (),
+        observe: str | None = None,
     ) -> DataStreamWriter:
-        """The whole stream job into replay-safe micro-batch folders."""
+        """The whole stream job into ``sink``, or into replay-safe micro-batch folders below ``path``.
+
+        A sink may be given by its options (``sink_from``). With ``seen`` the job de-duplicates for ever
+        against that table and keeps no state; the first row of a key in a batch is then the least by
+        ``arrival``. ``observe`` names the counts of malformed records (``BatchMetrics``).
+        """
+        if (path is None) == (sink is None):
+            raise ValueError("a job writes either to a path or to a sink")
+        if isinstance(sink, dict):
+            sink = sink_from(sink, self.keys)
+        sink = sink or folder_sink(path, fmt)
 
         def finish(batch: DataFrame) -> DataFrame:
             return self.finish(batch, rates, as_of, tz, rate_date)
 
-        rows = self.stream(records, as_of, tz, time_filter)
-        return to_batches(rows, path, checkpoint, trigger, finish, fmt)
+        if seen:
+            rows = self.prepare(records, as_of, tz, arrival, time_filter, watermark=False, observe=observe)
+            return to_sink_once(rows, checkpoint, seen, list(arrival) or self.order_by, sink, trigger, finish)
+        rows = self.stream(records, as_of, tz, time_filter, observe=observe)
+        return to_sink(rows, checkpoint, sink, trigger, finish)
 
 
 TXN = Job(

@@ -48,7 +48,11 @@ def seek(log: DataFrame, offsets: int | Sequence[int | None] | DataFrame) -> Dat
     """
     if isinstance(offsets, DataFrame):
         start = offsets.where(F.col("offset") >= 0).select(*PAIR, F.col("offset").alias("__start"))
-        found = lookup(log, start, {c: c for c in PAIR}, ["__start"])
+        # The least start is redundant, but it is a plain predicate that reaches the scan.
+        least = start.agg(F.min("__start")).head()[0]
+        if least is None:
+            return log.where(F.lit(False))
+        found = lookup(log.where(F.col("offset") >= least), start, {c: c for c in PAIR}, ["__start"])
         return found.where(F.col("offset") >= F.col("__start")).drop("__start")
     if isinstance(offsets, int):
         return log.where(F.col("offset") >= offsets)

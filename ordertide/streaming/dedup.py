@@ -20,11 +20,12 @@ def collapse_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
 
     def collapse(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             rows = pa.Table.from_batches([batch.select(keys)])
-            numbered = rows.append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
+            numbered = rows.append_column("__row", pa.array(np.arange(batch.num_rows)))
             first = numbered.group_by(keys).aggregate([("__row", "min")])["__row_min"]
             yield batch if len(first) == batch.num_rows else batch.take(first.combine_chunks().sort())
 
@@ -52,10 +53,12 @@ def with_ttl(
     ttl_ms: int = DAY_MS,
     order_by: str | None = None,
     collapse: bool = False,
+    renew: bool = False,
 ) -> DataFrame:
     """First row per key, forgotten ``ttl_ms`` of processing time after it was let through.
 
-    Seeing a key again does not prolong its life. Within a micro-batch the first is the least
+    Seeing a key again does not prolong its life, unless ``renew`` is set: then a key is forgotten once
+    it has been idle for so long. Within a micro-batch the first is the least
     ``order_by``, or any row without it. Needs the RocksDB state store (``streaming_session``).
     """
     from pyspark.sql.streaming import StatefulProcessor
@@ -72,6 +75,8 @@ def with_ttl(
 
         def handleInputRows(self, key, rows, timer_values):
             if self.seen.exists():
+                if renew:
+                    self.seen.update((True,))
                 return
             first = next(rows) if order_by is None else min(rows, key=lambda r: r[order_by])
             self.seen.update((True,))

@@ -162,7 +162,7 @@ DAY_ROWS = "minute_ts >= TIMESTAMP '2024-01-15 16:00:00' AND minute_ts < TIMESTA
 HOURLY_TXN = _with(
     *ALL_TXN, TXN_ROLLUP,
     f"""SELECT date_trunc('hour', minute_ts) AS hour_ts, country, CAST(sum("count") AS DOUBLE) AS "count",
-       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd
+       floor(sum(gmv) * 1000000 + 0.123456789) / 1000000 AS gmv, floor(sum(gmv_usd) * 1000000 + 0.123456789) / 1000000 AS gmv_usd
 FROM txn_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
 )
 
@@ -334,7 +334,10 @@ FROM feed""",
 UNION ALL SELECT "offset", 'user' FROM feed WHERE database = 'user'
 UNION ALL SELECT "offset", 'paid_order' FROM feed WHERE database = 'order' AND order_status = 'paid'""",
     ),
-    "route_outputs": _with(FEED, """SELECT "offset", user_id, order_status FROM feed WHERE database = 'user'"""),
+    "route_outputs": _with(
+        FEED,
+        """SELECT database AS output, "offset", user_id, order_status FROM feed WHERE database IN ('order', 'user')""",
+    ),
     "union_topics": "SELECT event_id, event_type, value FROM events WHERE event_type IN ('purchase', 'view', 'click')",
     "filter_paid": _with(
         FEED, CLEAN, """SELECT "offset", order_id, user_id, gmv FROM clean WHERE order_status = 'paid'"""
@@ -419,13 +422,13 @@ WHERE NOT EXISTS (SELECT 1 FROM paid p WHERE p.event_time < {SEEN_MS}
     ),
     "rollup_minute_txn": _with(
         *ALL_TXN, TXN_ROLLUP,
-        """SELECT minute_ts, country, "count", floor(gmv * 10000 + 0.123456789) / 10000 AS gmv, floor(gmv_usd * 10000 + 0.123456789) / 10000 AS gmv_usd FROM txn_rollup""",
+        """SELECT minute_ts, country, "count", floor(gmv * 1000000 + 0.123456789) / 1000000 AS gmv, floor(gmv_usd * 1000000 + 0.123456789) / 1000000 AS gmv_usd FROM txn_rollup""",
     ),
     "rollup_minute_user": _with(*ALL_VISITS, USER_ROLLUP, "SELECT * FROM user_rollup"),
     "rollup_late_rejected": _with(
         *ALL_TXN,
         f"""SELECT {MINUTE} AS minute_ts, country, count(*) AS "count",
-       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd
+       floor(sum(gmv) * 1000000 + 0.123456789) / 1000000 AS gmv, floor(sum(gmv_usd) * 1000000 + 0.123456789) / 1000000 AS gmv_usd
 FROM all_txn WHERE event_time >= {AS_OF} - 3600000 GROUP BY 1, 2""",
     ),
     "hourly_country_txn": HOURLY_TXN,
@@ -437,7 +440,7 @@ FROM user_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
     ),
     "total_country_txn": _with(
         *ALL_TXN, TXN_ROLLUP,
-        """SELECT country, floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv_sum, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd_sum,
+        """SELECT country, floor(sum(gmv) * 1000000 + 0.123456789) / 1000000 AS gmv_sum, floor(sum(gmv_usd) * 1000000 + 0.123456789) / 1000000 AS gmv_usd_sum,
        CAST(sum("count") AS BIGINT) AS order_count FROM txn_rollup GROUP BY 1""",
     ),
     "total_country_user": _with(
@@ -447,7 +450,7 @@ FROM user_rollup WHERE {DAY_ROWS} GROUP BY 1, 2""",
     "rollup_hour_country": _with(
         *ALL_TXN, TXN_ROLLUP,
         """SELECT date_trunc('hour', minute_ts) AS "hour", country, CAST(sum("count") AS BIGINT) AS "count",
-       floor(sum(gmv) * 10000 + 0.123456789) / 10000 AS gmv, floor(sum(gmv_usd) * 10000 + 0.123456789) / 10000 AS gmv_usd FROM txn_rollup GROUP BY 1, 2""",
+       floor(sum(gmv) * 1000000 + 0.123456789) / 1000000 AS gmv, floor(sum(gmv_usd) * 1000000 + 0.123456789) / 1000000 AS gmv_usd FROM txn_rollup GROUP BY 1, 2""",
     ),
     "encode_json_rows": _with(*ALL_VISITS, f"SELECT {VISIT_JSON} AS value FROM all_visits"),
     "encode_output_records": _with(
@@ -541,8 +544,8 @@ FROM tab""",
     ),
     "stream_rollup_txn": _with(
         *ALL_TXN, TXN_ROLLUP,
-        """SELECT minute_ts, country, "count", floor(gmv * 10000 + 0.123456789) / 10000 AS gmv,
-       floor(gmv_usd * 10000 + 0.123456789) / 10000 AS gmv_usd
+        """SELECT minute_ts, country, "count", floor(gmv * 1000000 + 0.123456789) / 1000000 AS gmv,
+       floor(gmv_usd * 1000000 + 0.123456789) / 1000000 AS gmv_usd
 FROM txn_rollup WHERE epoch_ms(minute_ts) + 60000 <= (SELECT max(event_time) FROM all_txn) - 3600000""",
     ),
     "stream_txn_job": TXN_JOB,

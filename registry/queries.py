@@ -212,7 +212,8 @@ def route_by_database(spark, sf):
 
 def route_outputs(spark, sf):
     outputs = route(_orders(spark, sf), {"order": F.col("database") == "order", "user": F.col("database") == "user"})
-    return outputs["user"].select("offset", "user_id", "order_status")
+    whole = [o.select(F.lit(name).alias("output"), "offset", "user_id", "order_status") for name, o in outputs.items()]
+    return union_sources(*whole)
 
 
 def union_topics(spark, sf):
@@ -378,8 +379,8 @@ def txn_sql_job(spark, sf):
 
 def _money(df, *columns):
     """Sums of doubles depend on their order in the last digits, so they are compared in steps of
-    0.0001. The steps begin off the decimal grid, where no sum of the data's decimals lies."""
-    return df.withColumns({c: F.floor(F.col(c) * 10000 + 0.123456789) / 10000 for c in columns})
+    0.000001. The steps begin off the decimal grid, where no sum of the data's decimals lies."""
+    return df.withColumns({c: F.floor(F.col(c) * 1000000 + 0.123456789) / 1000000 for c in columns})
 
 
 def rollup_minute_txn(spark, sf):

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pytest
@@ -34,6 +35,21 @@ def test_user_job(spark):
     assert got == [(659334, "PH", 1641885053000, GOLDEN_NOON, "2022-01-11")]
 
 
+def test_a_job_with_its_own_hook(spark):
+    """Records of another shape pass a hook of the job's own before everything else, here one that makes two orders of each."""
+
+    def parse(records):
+        pair = F.array(F.col("value").cast("bigint"), F.col("value").cast("bigint") + 1)
+        return records.select(
+            F.lit(GOLDEN["create_time"]).alias("create_time"), F.lit("PHP").alias("currency"), F.lit("paid").alias("order_status"),
+            F.lit(7).alias("user_id"), F.explode(pair).alias("order_id"), F.lit(1.5).alias("gmv"),
+        )
+
+    job = dataclasses.replace(TXN, parse=parse)
+    got = rows(job.batch(record_table(spark, "1", "5", "6"), as_of=GOLDEN_NOON).select("order_id", "country", "gmv"))
+    assert sorted(got) == [(1, "PH", 1.5), (2, "PH", 1.5), (5, "PH", 1.5), (6, "PH", 1.5), (7, "PH", 1.5)]
+
+
 def test_old_orders_are_filtered(spark):
     assert rows(TXN_TTL.batch(record_table(spark, order()), as_of=GOLDEN_NOON + 86_400_000)) == []
     assert len(rows(TXN_TTL.batch(record_table(spark, order()), time_filter=False))) == 1
