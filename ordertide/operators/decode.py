@@ -41,7 +41,9 @@ _TEXT_SCHEMA = ", ".join(f"{name} STRING" for name in ORDER_FIELDS) + f", {_EVEN
 
 
 def _literal(value, kind: str = "string") -> str:
-    if isinstance(value, str):
+    if value is None:
+        value = "NULL"
+    elif isinstance(value, str):
         escaped = value.replace("\\", "\\\\").replace("'", "\\'")
         value = f"'{escaped}'"
     return f"CAST({value} AS {kind})"

@@ -14,9 +14,11 @@ the start of every run known, each range is replayed by itself.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from itertools import groupby
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,3 +254,7 @@ def check_and_delete_in_order(
     """
     after, results = _in_order(table, requests, column, order_by, expected, None, key)
     return _with_rows(after, key), results
+
+
+# Workers get these functions by value and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

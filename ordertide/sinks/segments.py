@@ -12,20 +12,19 @@ def _store(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path``, in order; none if there is no such path."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     at, store = _store(spark, path)
-    if not store.exists(at):
-        return []
-    return sorted(s.getPath().getName() for s in store.listStatus(at) if s.isDirectory())
+    return sorted(s.getPath().getName() for s in store.listStatus(at)) if store.exists(at) else []
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a ``path`` that holds nothing else but marks; none if there is no such path."""
+    return [n for n in _names(spark, path) if n[0] not in "_."]
 
 
 def files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files in ``path``, in order; none if there is no such path."""
-    at, store = _store(spark, path)
-    if not store.exists(at):
-        return []
-    return sorted(s.getPath().getName() for s in store.listStatus(at) if s.isFile())
+    """Names of the files in a ``path`` without folders; none if there is no such path."""
+    return [n for n in _names(spark, path) if n[0] not in "_."]
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

@@ -14,10 +14,12 @@ table at a time; a query with a new checkpoint finds all keys of the earlier one
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,8 +172,13 @@ def to_sink_once(
             seen.fold(batch.sparkSession, query, batch_id)
             first = first_per_key(batch, seen.keys, order_by)
             fresh = settle(seen.fresh(first, query, batch_id), "fresh")
-            sink(transform(fresh) if transform else fresh, query, batch_id)
-            seen.add(fresh, query, batch_id)
+        # What the sink or a rate snapshot stores meanwhile is not this batch's to remove.
+        sink(transform(fresh) if transform else fresh, query, batch_id)
+        seen.add(fresh, query, batch_id)
         remove_scratch(batch.sparkSession, scratch)
 
     return _writer(df, checkpoint, trigger).foreachBatch(write)
+
+
+# Workers get these functions by value and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,30 +3,34 @@
 from __future__ import annotations
 
 from registry.oracles import (
-    ALL_TXN,
     AS_OF,
     CLEAN,
     DIRTY,
+    EVENT_DAY,
     FEED,
     LASTS,
     LOG,
     ORACLES as BATCH_FREE,
     ORDER_KEY,
     PAID,
+    RATES,
     TXN_JOB,
+    TXN_OUT,
     TXN_ROLLUP,
     _first,
     _ms,
+    _rated,
     _with,
 )
 
 #: The micro-batch in which an event arrives.
 BATCH = 'CAST("offset" * 4 // (SELECT max(event_id) + 1 FROM events) AS BIGINT)'
+SHUFFLED = '"offset" % 4'
 TEN_DAYS = 864000000
 
 # The watermark by which a batch judges lateness is that of the batch before it: it has seen all but the last two.
 ARRIVED = f"""
-arrived AS (SELECT *, {BATCH} AS batch_id FROM paid),
+arrived AS (SELECT *, {SHUFFLED} AS batch_id FROM paid),
 newest AS (SELECT batch_id, max(event_time) AS t FROM arrived GROUP BY batch_id),
 marks AS (
   SELECT b.batch_id, (SELECT max(t) FROM newest n WHERE n.batch_id < b.batch_id - 1) - {TEN_DAYS} AS mark
@@ -79,7 +83,8 @@ WHERE (mark IS NULL OR event_time // 60000 * 60000 + 60000 > mark)
 GROUP BY 1, 2""",
     ),
     "stream_rollup_stored": _with(
-        *ALL_TXN, TXN_ROLLUP,
+        FEED, CLEAN, PAID, RATES, _first("firsts", "paid", ORDER_KEY, f'{SHUFFLED}, "offset"'),
+        _rated("rated", "firsts", EVENT_DAY), f"\nall_txn AS (SELECT {TXN_OUT} FROM rated)", TXN_ROLLUP,
         """SELECT minute_ts, country, "count", floor(gmv * 1000000 + 0.123456789) / 1000000 AS gmv,
        floor(gmv_usd * 1000000 + 0.123456789) / 1000000 AS gmv_usd FROM txn_rollup""",
     ),

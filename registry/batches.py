@@ -29,11 +29,13 @@ from registry.queries import AS_OF, SEEK_TIME, _money
 BATCHES, FILES = 4, 2
 
 
-def _arriving(session: SparkSession, sf: str) -> DataFrame:
-    """All events as a stream in ``BATCHES`` micro-batches; ``batch`` is the number of an event's."""
+def _arriving(session: SparkSession, sf: str, shuffled: bool = False) -> DataFrame:
+    """All events as a stream in ``BATCHES`` micro-batches: one part of the time each or, ``shuffled``, some of
+    every time, so that all but the first batch bring late rows. ``batch`` is the number of an event's."""
     events = read_table(session, sf, "events")
     ids = events.agg(F.max("event_id") + 1).head()[0] or 1
-    events = events.withColumn("batch", F.floor(F.col("event_id") * BATCHES / ids).cast("int"))
+    batch = F.pmod("event_id", F.lit(BATCHES)) if shuffled else F.floor(F.col("event_id") * BATCHES / ids)
+    events = events.withColumn("batch", batch.cast("int"))
     path = scratch_path(session, "arriving")
     for k in range(BATCHES):
         events.where(F.col("batch") == k).repartition(FILES).write.mode("append").parquet(path)
@@ -41,8 +43,8 @@ def _arriving(session: SparkSession, sf: str) -> DataFrame:
     return stream.parquet(path)
 
 
-def _arriving_orders(session: SparkSession, sf: str) -> DataFrame:
-    return feed.orders_from_events(_arriving(session, sf))
+def _arriving_orders(session: SparkSession, sf: str, shuffled: bool = False) -> DataFrame:
+    return feed.orders_from_events(_arriving(session, sf, shuffled))
 
 
 def _home(session: SparkSession, name: str) -> tuple[str, str]:
@@ -80,7 +82,7 @@ def stream_dedup_late(spark, sf):
     """Within the watermark, of which each micro-batch leaves rows that are too old for the next one."""
     session = streaming_session(spark)
     out, checkpoint = _home(session, "late-out")
-    rows = txn_projection(_arriving_orders(session, sf).where("database = 'order'"))
+    rows = txn_projection(_arriving_orders(session, sf, shuffled=True).where("database = 'order'"))
     rows = with_event_time(rows, "event_time", None).select("country", "order_id", "event_ts")
     kept = stream_dedup.within_watermark(rows, ["country", "order_id"], "event_ts", "10 days")
     run_available(to_sink(kept.select("country", "order_id"), checkpoint, folder_sink(out)))
@@ -92,7 +94,7 @@ def stream_rollup_late(spark, sf):
     and so are minutes that it has not passed."""
     session = streaming_session(spark)
     out, checkpoint = _home(session, "rollup-late")
-    rows = txn_projection(_arriving_orders(session, sf).where("database = 'order'")).select("country", "event_time")
+    rows = txn_projection(_arriving_orders(session, sf, shuffled=True).where("database = 'order'")).select("country", "event_time")
     run_available(to_sink(rollup_minute(rows, (), delay="10 days"), checkpoint, folder_sink(out)))
     return _stored(session, out).drop("batch_id")
 
@@ -111,7 +113,7 @@ def stream_rollup_stored(spark, sf):
 
     seen = SeenKeys(scratch_path(session, "rollup-seen"), TXN.keys, buckets=8)
     run_available(TXN.write(
-        feed.as_records(_arriving_orders(session, sf)), checkpoint=checkpoint, rates=rates, as_of=AS_OF, rate_date="event",
+        feed.as_records(_arriving_orders(session, sf, shuffled=True)), checkpoint=checkpoint, rates=rates, as_of=AS_OF, rate_date="event",
         time_filter=False, sink=add, seen=seen, arrival=("offset",),
     ))
     store.compact(session)
