@@ -1,10 +1,15 @@
 from datetime import datetime
 
-from helpers import plan, rows
+from helpers import GOLDEN_NOON, order, plan, rows
 from pyspark.sql import functions as F
 
 from ordertide.operators.rollup import rollup_minute
+from ordertide.plans.jobs import TXN
 from ordertide.sinks.rollup_store import RollupStore
+from ordertide.streaming.rates import RateSnapshot
+from ordertide.streaming.run import run_available
+from ordertide.streaming.seen_keys import SeenKeys
+from test_streams import text_stream, write_lines
 
 BASE = 1_700_000_400_000  # 2023-11-14 22:20:00 UTC
 SCHEMA = "country string, event_time bigint, gmv double, gmv_usd double"
@@ -92,3 +97,25 @@ def test_other_dimensions_and_counts_alone(spark, tmp_path):
     store.add(data.where("shop = 2"), "q", 1)
     assert sorted(rows(store.read(spark).select("shop", "count"))) == [(1, 2), (2, 2)]
     assert store.read(spark).agg(F.sum("count")).head()[0] == 4
+
+
+def test_a_stream_rolls_up_with_the_rates_of_each_batch(spark, tmp_path):
+    """De-duplication, rates and roll-up in one stream, in which a rate changes between two batches."""
+    store, path = RollupStore(str(tmp_path / "r")), str(tmp_path / "rates")
+    seen = SeenKeys(str(tmp_path / "seen"), TXN.keys, buckets=2)
+    rates = RateSnapshot(lambda: spark.read.parquet(path), 0.0)
+
+    def run(name, rate, *ids):
+        quote = spark.createDataFrame([("PH", rate)], "country string, rate double")
+        quote.withColumn("rate_date", F.to_date(F.lit("2022-01-11"))).write.mode("append").parquet(path)
+        write_lines(tmp_path / "in", name, *[order(order_id=i, gmv=10.0) for i in ids])
+        run_available(TXN.write(
+            text_stream(spark, tmp_path / "in"), checkpoint=str(tmp_path / "c"), rates=rates, as_of=GOLDEN_NOON,
+            sink=store.add, seen=seen,
+        ))
+        return [(r["country"], r["count"], r["gmv"], r["gmv_usd"]) for r in store.read(spark).collect()]
+
+    assert run("a", 1.0, 1, 2, 2) == [("PH", 2, 20.0, 20.0)]
+    assert run("b", 2.0, 2, 3) == [("PH", 3, 30.0, 40.0)]
+    store.compact(spark)
+    assert run("c", 4.0, 1, 4) == [("PH", 4, 40.0, 80.0)]
