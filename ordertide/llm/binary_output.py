@@ -33,7 +33,7 @@ from ordertide.session import scratch_path
 
 MAGIC = b"BPS1"
 HEAD = struct.Struct("<4sB3xIQ")
-BLOCK = 1 << 13
+BLOCK = 1 << 16
 #: A shard is closed at the first document end at or past so many ids.
 SHARD_IDS = 1 << 19
 
@@ -105,13 +105,14 @@ def write_token_shards(
 ) -> None:
     """Tokenize every text (null: empty), add ``end_id``, and write shards in ascending id order.
 
-    Rows of one id are ordered by their text's hash; rows without id come first. An empty table gives
+    Rows of one id stay in the order of the input; rows without id come first. An empty table gives
     no shards. Other columns are not read. Each task holds one shard and one batch of texts.
     """
     tokenizer = tokenizer or default_tokenizer()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     taken = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    taken = taken.withColumn("tie", F.xxhash64("text"))
+    # The ranges are drawn from ids and places alone, so that no text is read for them.
+    taken = taken.withColumn("tie", F.monotonically_increasing_id())
     ordered = taken.repartitionByRange(n, "id", "tie").sortWithinPartitions("id", "tie")
     numbered = ordered.withColumn("part", F.spark_partition_id())
     schema = pa.schema([
