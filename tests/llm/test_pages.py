@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 from ordertide.llm.html_text import extract_pages, extraction_report, main_text
@@ -51,6 +52,65 @@ def test_deeply_nested_inline_elements():
     assert main_text("<p>" + "".join(f"<b>w{i}, " for i in range(3000)) + "</p>") == ", ".join(f"w{i}" for i in range(3000)) + ","
 
 
+ARTICLE = "<article><p>The article, with commas, and long enough to be found by score.</p><p>And more, of the same.</p></article>"
+TEXT = "The article, with commas, and long enough to be found by score.\nAnd more, of the same."
+PLAIN = ARTICLE.replace("article>", "div>")
+
+
+def test_wrappers_with_marked_words():
+    for wrapper in (
+        '<div class="site has-sidebar">', '<div class="layout with-banner">', '<div class="post comments-open">',
+        '<div class="page page-notice">', '<section class="share-price">', '<div id="header-main">', '<div class=sidebar><div class=widget>',
+    ):
+        for inner in (ARTICLE, PLAIN):
+            page = f"<body><nav><a href=/>Home</a></nav>{wrapper}{inner}</div></section></div><footer>The end, of it all, for ever</footer>"
+            assert main_text(page) == TEXT, (wrapper, inner)
+
+
+def test_marked_parts_beside_an_article_are_cut():
+    long = "<p>" + "Words, and words, and more of them. " * 40 + "</p>"
+    for mark in ("sidebar", "ad-box", "comments", "cookie-notice", "comment-list", "site-footer", "share-links"):
+        for inner in (ARTICLE, PLAIN):
+            assert main_text(f'<div class="{mark}">{"<p>Some, short, text of the marked part.</p>"}</div>{inner}') == TEXT, mark
+        assert main_text(f'{ARTICLE}<div class="{mark}">{long}</div>') == TEXT, mark
+    assert main_text('<div class=ad>An advert, with commas, longer than the text</div><article><h1>Hi</h1></article>') == "Hi"
+
+
+def test_lists_of_links_in_an_article_stay():
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(4)) + "</ul>"
+    page = ARTICLE.replace("</article>", links + "</article>")
+    assert main_text(page) == TEXT + "".join(f"\nSource number {i}" for i in range(4))
+    assert main_text(PLAIN.replace("</div>", links + "</div>")) == TEXT
+
+
+def test_words_in_values_hide_nothing():
+    assert main_text(ARTICLE.replace("<p>", '<p title="a hidden gem, display: none">', 1)) == TEXT
+    assert main_text(ARTICLE + '<div hidden><p>Not, shown, to any reader of this page</p></div>') == TEXT
+    assert main_text('<p>It is <a title="a > b">linked</a> and "quoted", isn\'t it, <b don\'t>really</b>?') == 'It is linked and "quoted", isn\'t it, really?'
+
+
+def test_broken_pages_take_linear_time():
+    n = 60_000
+    pieces = [
+        '<a "' * n, "<b x='" * n, "<span>" * n + "</b>" * n, "<span>" * n + "<div></div>" * n, "<b '><b'" * n, "<b x='><b'" * n,
+        "</" * n, "<title>" * n, "<!--" * n, "<div><span>" * n, "<b><article>" + "<span>" * n + "</b>" * n, "<header>" * n, "<" * n, "<p>" * n,
+        '<b x="' * n + ">", "<ul><li>" * n,
+    ]
+    for p in pieces:
+        for page in (p, p + ARTICLE):
+            start = time.process_time()
+            main_text(page)
+            assert time.process_time() - start < 5, (p[:20], time.process_time() - start)
+
+
+def test_empty_table_and_repeats(spark):
+    schema = "page_id bigint, url string, html string"
+    assert extraction_report(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "u", ARTICLE), (1, "u", ARTICLE), (None, None, None), (2, "u", "")]
+    got = sorted(r["text"] for r in extraction_report(spark.createDataFrame(rows, schema)).collect())
+    assert got == ["", "", TEXT, TEXT]
+
+
 def test_names_are_split(spark):
     counts = {"river": 50, "stone": 40, "riverstone": 0, "run": 9, "runs": 3}
     assert split_name("riverstoneruns", counts, 1000) == ["river", "stone", "runs"]
