@@ -138,8 +138,9 @@ class Segment:
             found = found[_among(found + i, self.postings(known[i]))]
         return found
 
-    def near(self, phrase: list[bytes], width: int) -> np.ndarray:
-        """Ascending positions p such that p..p+width-1 holds every term of ``phrase``, p one of them.
+    def near(self, phrase: list[bytes], width: int, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Ascending positions p such that p..p+width-1 holds every term of ``phrase``, p one of them, all in
+        the document of p; documents begin at ``first`` and have so many words.
 
         Around each place of the rarest term only, the other lists are asked for their next place.
         """
@@ -157,10 +158,12 @@ class Segment:
             close |= (at > 0) & (p - anchor[np.maximum(at - 1, 0)] < width)
             around.append(p[close])
         starts = np.unique(np.concatenate(around))
+        doc = np.searchsorted(first, starts, "right") - 1
+        ends = np.minimum(starts + width, first[doc] + lengths[doc])
         for p in around:
             at = np.searchsorted(p, starts, "left")
-            nearest = np.append(p, np.iinfo(np.int64).max)[at]
-            starts = starts[nearest < starts + width]
+            held = np.append(p, np.iinfo(np.int64).max)[at] < ends
+            starts, ends = starts[held], ends[held]
         return starts
 
 
@@ -215,11 +218,12 @@ def _searcher(sent, proximity: int | None):
             for k in range(batch.num_rows):
                 number, _, lengths, terms, counts, positions = (c[k].as_py() for c in batch.columns)
                 opened = Segment(terms, counts, positions, wanted)
-                first = _starts(np.asarray(lengths, np.int64))
+                sizes = np.asarray(lengths, np.int64)
+                first = _starts(sizes)
                 spans: dict[int, set] = {}
                 named: dict[int, set] = {}
                 for phrase, items in sent.value:
-                    found = opened.near(phrase, proximity) if proximity else opened.phrase(phrase)
+                    found = opened.near(phrase, proximity, first, sizes) if proximity else opened.phrase(phrase)
                     if len(found):
                         docs = np.searchsorted(first, found, "right") - 1
                         width = proximity or len(phrase)

@@ -96,6 +96,29 @@ def test_proximity(spark):
     assert len(search(index, items, proximity=6).collect()) == 2
 
 
+@pytest.mark.parametrize("width", [3, 4, 6, 13])
+def test_proximity_equals_brute_force(spark, width):
+    """Spans of all documents of one segment, none of which may reach into the next document."""
+    r = random.Random(width)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(14))) for _ in range(60)] + ["a x x b y c", "c b a", "", None, "a", "b c"]
+    phrases = ["a b c", "c a", "h h a", "a", "d e f g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame(list(enumerate(phrases)), "item_id bigint, text string")
+    want = {}
+    for d, t in enumerate(texts):
+        w = (t or "").split()
+        for i, p in enumerate(phrases):
+            terms = set(p.split())
+            for s in range(len(w)):
+                if w[s] in terms and terms <= set(w[s : s + width]):
+                    spans, names = want.setdefault(d, (set(), set()))
+                    spans.add((s, min(s + width, len(w))))
+                    names.add(str(i))
+    found = search(build_index(docs), items, proximity=width).collect()
+    got = {r["doc_no"]: (set(zip(r["starts"], r["ends"])), set(r["items"])) for r in found}
+    assert got == want
+
+
 def test_votes_tell_good_from_bad():
     patterns = [([-1, -1, -1, 1], 800), ([0, -1, 0, -1], 60), ([-1, 0, 0, 0], 50), ([0, 0, -1, 0], 40), ([0, -1, -1, 1], 10)]
     share, table, posterior = fit_votes(patterns)
