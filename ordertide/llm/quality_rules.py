@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordertide.llm.rows import mixed, ranges, sliced, unpacked
-from ordertide.session import settle
+from ordertide.llm.rows import mixed, ranges, sliced
+from ordertide.session import fits, settle
 
 ORDER = 5
 START, END = "\x02", "\x03"
@@ -40,6 +40,8 @@ LEAST_SPREAD = 0.02
 #: Grams of all models together, and languages, that may be sent to every task (16 bytes a gram), the
 #: smallest models first. Texts of the other languages are scored by a join.
 SENT_GRAMS, SENT_LANGS = 8_000_000, 1000
+#: Numbers of rejected rows that may be sent to all tasks, counted first; beyond that they are joined.
+SENT_IDS = 500_000
 #: Steps of log probability in which a join adds up, so that no order of rows changes a sum.
 STEPS = 1 << 30
 #: Distinct grams that a task holds before it passes them on.
@@ -413,5 +415,13 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns unchanged."""
-    return unpacked(quality(docs, text_col, lang_col).filter("kept"))
+    """The rows of ``docs`` that the rules keep, columns unchanged; rows are told apart by number.
+
+    Only numbers, languages and texts go through the model. The numbers of rejected rows come back.
+    """
+    row = F.struct(*[docs[c] for c in docs.columns])
+    stored = settle(docs.select(F.monotonically_increasing_id().alias("uid"), row.alias("row")), "numbered")
+    taken = stored.select("uid", F.col("row")[text_col].alias("text"), F.col("row")[lang_col].alias("lang"))
+    rejected = settle(quality(taken, carry=["uid"]).filter(~F.col("kept")).select("row.uid"), "rejected")
+    sent = F.broadcast(rejected) if fits(rejected, SENT_IDS) else rejected
+    return stored.join(sent, "uid", "left_anti").select("row.*")
