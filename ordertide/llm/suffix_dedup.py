@@ -409,7 +409,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
 
 def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining text of every row.
+
+    In the text a character that has lost some of its bytes shows as U+FFFD; the digest is of the bytes.
+    """
     done = remove_repeats(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")))
     return done.select(
         "row.doc_id",
@@ -417,6 +420,7 @@ def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
