@@ -69,6 +69,10 @@ ORACLES: dict[str, str] = {
     "stream_dedup_batches": _with(
         FEED, CLEAN, PAID, f"SELECT country, order_id, min({BATCH}) AS batch_id FROM paid GROUP BY 1, 2"
     ),
+    "stream_dedup_ttl_batches": _with(
+        FEED, CLEAN, PAID, _first("firsts", "paid", ORDER_KEY, f'{SHUFFLED}, "offset"'),
+        f'SELECT country, order_id, "offset", {SHUFFLED} AS batch_id FROM firsts',
+    ),
     "stream_dedup_late": _with(
         FEED, CLEAN, PAID, ARRIVED,
         """SELECT country, order_id, min(batch_id) AS batch_id FROM arrived JOIN marks USING (batch_id)

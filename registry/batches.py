@@ -12,7 +12,6 @@ from ordertide.plans.jobs import TXN, TXN_COLUMNS, run_job, txn_projection
 from ordertide.session import scratch_path, streaming_session
 from ordertide.sinks.rollup_store import RollupStore
 from ordertide.sinks.streams import drop_replays, folder_sink, to_sink
-from ordertide.sources import feed
 from ordertide.sources.files import read_table
 from ordertide.sources.log_index import LogIndex
 from ordertide.streaming import dedup as stream_dedup
@@ -23,6 +22,7 @@ from ordertide.streaming.rates import RateSnapshot
 from ordertide.streaming.run import run_available
 from ordertide.streaming.seen_keys import SeenKeys, to_sink_once
 from ordertide.streaming.side_outputs import order_outputs, read_output, to_side_outputs
+from registry import feed
 from registry.queries import AS_OF, SEEK_TIME, _money
 
 #: Micro-batches in which the events arrive, by event id, and files of each.
@@ -78,6 +78,16 @@ def stream_dedup_batches(spark, sf):
     return _stored(session, out)
 
 
+def stream_dedup_ttl_batches(spark, sf):
+    """First row of each key by offset within its micro-batch, with state that would live for a day."""
+    session = streaming_session(spark, idle_batches=False)
+    out, checkpoint = _home(session, "ttl-out")
+    rows = txn_projection(_arriving_orders(session, sf, shuffled=True).where("database = 'order'"), keep=("offset",))
+    kept = stream_dedup.with_ttl(rows.select("country", "order_id", "offset"), ["country", "order_id"], order_by="offset")
+    run_available(to_sink(kept, checkpoint, folder_sink(out)))
+    return _stored(session, out)
+
+
 def stream_dedup_late(spark, sf):
     """Within the watermark, of which each micro-batch leaves rows that are too old for the next one."""
     session = streaming_session(spark)
@@ -222,7 +232,7 @@ def log_lag_of_checkpoint(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_dedup_seen_table, stream_dedup_batches, stream_dedup_late, stream_rollup_late, stream_rollup_stored,
+        stream_dedup_seen_table, stream_dedup_batches, stream_dedup_ttl_batches, stream_dedup_late, stream_rollup_late, stream_rollup_stored,
         stream_side_outputs, stream_bad_counts, stream_txn_records,
         log_index_offsets_for_time, log_index_seek, log_index_seek_from_time, log_index_last_offset, log_lag_of_checkpoint,
     )

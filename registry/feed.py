@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import ntz_to_millis
 
-# Currency by number: the fifth is unmapped on purpose.
+# Currency by number (the fifth is unmapped on purpose), daily base rates by country, and the
+# days of the month without a quote.
 CURRENCIES = ("IDR", "PHP", "MYR", "SGD", "USD")
-# Daily base rates by country, and the days of the month without a quote.
 BASE_RATES = {"ID": 0.00007, "MY": 0.24, "SG": 0.74, "PH": 0.02}
 MISSING_DAYS = {"ID": (5,), "MY": (15, 16), "SG": (20,), "PH": (10,)}
 

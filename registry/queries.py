@@ -42,13 +42,13 @@ from ordertide.plans.jobs import (
 )
 from ordertide.session import scratch_path, streaming_session
 from ordertide.sinks.tables import write_rollup
-from ordertide.sources import feed
 from ordertide.sources import record_log as log
 from ordertide.sources.files import read_table, stream_table
 from ordertide.streaming import dedup as stream_dedup
 from ordertide.streaming.event_time import with_event_time, with_time_attributes
 from ordertide.streaming.rates import RateSnapshot
 from ordertide.streaming.run import drain_to_table
+from registry import feed
 
 # 2024-01-16 12:00 in Singapore.
 AS_OF = 1705377600000
