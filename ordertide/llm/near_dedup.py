@@ -10,7 +10,8 @@ classes by their token there. Similar classes thus meet in some leaf of a tree w
 falls only slowly with the depth, and unrelated ones part. A node with few classes is not branched
 further but compared exhaustively, by sketch first; what may be similar is verified on the full shingle
 sets. Trees are repeated to the target recall: 16 trees miss a pair at the threshold with probability
-2e-12 in a node that is small at once, and 3e-4 if it had to be branched seven times.
+2e-12 in a node that is small at once, 3e-4 if it had to be branched seven times, 5e-3 after twelve
+branchings and 5e-2 after ``MAX_DEPTH``.
 
 A dense node, such as thousands of near copies of one text, must not be compared all with all. Before
 branching, every node of the first level verifies the links of its members with one pivot; classes that
