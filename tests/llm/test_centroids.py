@@ -79,7 +79,7 @@ def test_other_sizes(spark):
     assert got(frame(spark, rows), clusters=4, rounds=6, dimensions=3) == brute(rows, 4, 6, 3)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(st.lists(st.lists(st.integers(-3, 3), min_size=2, max_size=2), min_size=1, max_size=25))
 def test_ties(spark, points):
     rows = [(i, [e / 2 for e in p]) for i, p in enumerate(points)]

@@ -90,7 +90,7 @@ def test_words_in_values_hide_nothing():
 
 
 def test_broken_pages_take_linear_time():
-    n = 60_000
+    n = 30_000
     pieces = [
         '<a "' * n, "<b x='" * n, "<span>" * n + "</b>" * n, "<span>" * n + "<div></div>" * n, "<b '><b'" * n, "<b x='><b'" * n,
         "</" * n, "<title>" * n, "<!--" * n, "<div><span>" * n, "<b><article>" + "<span>" * n + "</b>" * n, "<header>" * n, "<" * n, "<p>" * n,
@@ -100,7 +100,7 @@ def test_broken_pages_take_linear_time():
         for page in (p, p + ARTICLE):
             start = time.process_time()
             main_text(page)
-            assert time.process_time() - start < 5, (p[:20], time.process_time() - start)
+            assert time.process_time() - start < 4, (p[:20], time.process_time() - start)
 
 
 def test_empty_table_and_repeats(spark):
