@@ -55,8 +55,7 @@ def toggles(seed, n, keys, values):
     return [(pick(), i // 3, i % 3, value(), value(), "x") for i in range(n)]
 
 
-@pytest.mark.parametrize("seed, parts", [(1, 1), (2, 5), (3, 13)])
-@pytest.mark.parametrize("delete", [False, True])
+@pytest.mark.parametrize("seed, parts, delete", [(1, 1, False), (2, 5, True), (3, 13, False)])
 def test_random_requests(spark, seed, parts, delete):
     values = [None, 0.0, 1.0, 2.0, NAN]
     requests = toggles(seed, 400, 9, values)
