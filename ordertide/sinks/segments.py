@@ -27,6 +27,11 @@ def files(spark: SparkSession, path: str) -> list[str]:
     return [n for n in _names(spark, path) if n[0] not in "_."]
 
 
+def has_parts(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether the table in ``path``, partitioned by ``column``, has any partition."""
+    return any(n.startswith(f"{column}=") for n in _names(spark, path))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has ended."""
     at, store = _store(spark, f"{path}/_SUCCESS")

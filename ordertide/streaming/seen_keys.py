@@ -27,7 +27,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ordertide.operators.dedup import first_per_key, not_seen
 from ordertide.session import recorded_scratch, remove_scratch, settle
-from ordertide.sinks.segments import folders, is_before, is_complete, query_id, remove, segment_name
+from ordertide.sinks.segments import folders, has_parts, is_before, is_complete, query_id, remove, segment_name
 from ordertide.sinks.streams import Sink, _writer
 
 #: Bits of a filter for each key, and bits that a key sets: one foreign key in 100,000 is taken for known.
@@ -85,15 +85,19 @@ class SeenKeys:
         """``keys`` or ``filters`` of segments; a bucket is a folder of its own and is pruned as such."""
         return reduce(DataFrame.unionByName, [spark.read.parquet(f"{s}/{part}") for s in segments])
 
+    def _holding(self, spark: SparkSession, segments: Sequence[str]) -> list[str]:
+        """Those of ``segments`` that hold keys: a batch without new ones leaves no file to read a schema from."""
+        return [s for s in segments if has_parts(spark, f"{s}/keys", BUCKET)]
+
     def known(self, spark: SparkSession) -> DataFrame | None:
         """All keys of the table, or None while there are none."""
-        found = self.segments(spark)
+        found = self._holding(spark, self.segments(spark))
         return self._stored(spark, found, "keys").select(*self.keys) if found else None
 
     def fresh(self, rows: DataFrame, query: str, batch_id: int) -> DataFrame:
         """Rows (one per key) whose key the table does not hold."""
         spark = rows.sparkSession
-        found = self.segments(spark, query, batch_id)
+        found = self._holding(spark, self.segments(spark, query, batch_id))
         if not found:
             return rows
         dealt = self._dealt(rows)
@@ -142,13 +146,17 @@ class SeenKeys:
         self._save(self._dealt(rows.select(*self.keys)), f"{self.path}/segments/{segment_name(query, batch_id)}")
 
     def fold(self, spark: SparkSession, query: str, batch_id: int) -> bool:
-        """Make one segment of those before this batch, if there are many; it counts once its log is written."""
+        """Make one segment of those before this batch, if there are many; it counts once its log is written.
+
+        Without any key among them the log alone stands for them.
+        """
         found = self.segments(spark, query, batch_id)
         if len(found) <= self.fold_every:
             return False
         last, inside = self._folded(spark)
         path = f"{self.path}/folds/{0 if last is None else int(last) + 1:06d}"
-        self._save(self._stored(spark, found, "keys"), path)
+        if holding := self._holding(spark, found):
+            self._save(self._stored(spark, holding, "keys"), path)
         gone = {p.rsplit("/", 1)[1] for p in found if "/segments/" in p}
         log = spark.createDataFrame([(n,) for n in sorted(gone | inside)], "segment string")
         log.coalesce(1).write.mode("overwrite").parquet(f"{path}/log")

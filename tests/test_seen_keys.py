@@ -40,6 +40,23 @@ def test_filter_knows_its_own_and_few_others():
     assert may_hold(bloom_filter(own[:1]), own[:1]).all()
 
 
+def test_batches_without_new_keys(spark, tmp_path):
+    seen = SeenKeys(str(tmp_path / "seen"), ["a"], buckets=4, fold_every=2)
+    rows = spark.createDataFrame([(1, 1), (None, 2)], "a int, x int")
+    for n in range(4):
+        # Nothing but empty segments, at last folded ones.
+        assert seen.known(spark) is None
+        assert seen.fresh(rows, "q", n).count() == 2
+        seen.add(rows.where("false"), "q", n)
+        assert seen.fold(spark, "q", n + 1) == (n == 2)
+    seen.add(rows, "q", 4)
+    seen.add(rows.where("false"), "q", 5)
+    assert seen.fresh(rows, "q", 6).count() == 0
+    assert seen.fold(spark, "q", 6)
+    assert sorted(r["a"] or 0 for r in seen.known(spark).collect()) == [0, 1]
+    assert [r["a"] for r in seen.fresh(spark.createDataFrame([(1, 1), (2, 2)], "a int, x int"), "other", 0).collect()] == [2]
+
+
 def test_keys_over_batches(spark, tmp_path):
     seen = SeenKeys(str(tmp_path / "seen"), ["a", "b"], buckets=8, fold_every=3)
     expected, done = Counter(), set()
