@@ -17,6 +17,12 @@ A dense node, such as thousands of near copies of one text, must not be compared
 branching, every node of the first level verifies the links of its members with one pivot; classes that
 these links have joined need no further comparison with each other, only with classes of other
 components, and a node within one component is done. No link between components is lost by that.
+
+So a node needs no branching either when few of its classes lie outside its largest component, however
+large it is: these few are compared with all its members, which are dealt out in blocks. Pairs that
+agree by sketch are verified one by one where a block has few of them. In a crowded block, of texts that
+are all a little less similar than the threshold, the full shingle sets of all members are compared at
+once where they meet, and only links that join components leave the task.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.components import components
-from ordertide.llm.rows import map_texts, mixed, unpacked
+from ordertide.llm.rows import map_texts, mixed, sliced, unpacked
 from ordertide.session import fits, settle
 
 SHINGLE = 5
@@ -42,6 +48,11 @@ COORDINATES = 64
 MIN_EQUAL = 28
 #: Classes of a node that is compared exhaustively.
 SMALL_NODE = 200
+#: A node is not branched if at most ``APART`` times as many classes lie outside its largest component; of
+#: that component ``BLOCK`` times as many meet them at once.
+APART, BLOCK = 2, 4
+#: Candidate pairs a class beyond which a block is crowded, and shingles that are compared at once there.
+CROWDED, COLUMNS = 2, 4096
 #: Branchings of a path, after which a node still large is compared block by block.
 MAX_DEPTH = 24
 #: Ids that may be sent to all tasks to pick out the texts that pairs need; beyond that they are joined.
@@ -179,13 +190,23 @@ def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _texts(stored: DataFrame, *ids: DataFrame) -> DataFrame:
+    """uid, text of the uids in ``ids``."""
+    need = ids[0]
+    for more in ids[1:]:
+        need = need.union(more)
+    need = settle(need.distinct().toDF("uid"), "needed")
+    texts = stored.select("uid", "text")
+    return settle(texts.join(F.broadcast(need) if fits(need, SENT_IDS) else need, "uid"), "texts")
+
+
 def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose full shingle sets are similar enough."""
     pairs = settle(pairs, "candidates")
-    need = settle(pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct(), "needed")
-    texts = stored.select("uid", "text")
-    few = fits(need, SENT_IDS)
-    texts = settle(texts.join(F.broadcast(need) if few else need, "uid"), "texts")
+    return _similar(pairs, _texts(stored, pairs.select("a"), pairs.select("b")), percent)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,40 +222,137 @@ def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "similar")
 
 
-def _compared(nodes: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(a, b) of different roots within each small node that agree often enough by sketch."""
-    held = nodes.join(sketches, "uid").groupBy("node").agg(F.collect_list(F.struct("uid", "root", "sketch")).alias("m"))
+def _dealt(nodes: DataFrame) -> DataFrame:
+    """block, uid, root, outside of nodes to be compared: few members are outside the largest component, and in every block."""
+    blocks = F.ceil(F.col("size") / (BLOCK * SMALL_NODE))
+    outside = F.col("root") != F.col("main")
+    at = F.when(outside, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("uid"), blocks)))
+    wide = nodes.select("node", "uid", "root", outside.alias("outside"), F.explode(at).alias("k"))
+    return wide.select(F.xxhash64("node", "k").alias("block"), "uid", "root", "outside")
+
+
+def _compared(blocks: DataFrame, sketches: DataFrame) -> DataFrame:
+    """block, a, b of different roots within each block that agree often enough by sketch, one end of each outside.
+
+    A crowded block has one row without pair instead.
+    """
+    held = blocks.join(sketches, "uid").groupBy("block").agg(F.collect_list(F.struct("uid", "root", "outside", "sketch")).alias("m"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for members in batch.column(1):
+            for block, members in zip(batch.column(0).to_pylist(), batch.column(1)):
                 m = members.values
                 uids, roots = m.field("uid").to_numpy(False), m.field("root").to_numpy(False)
+                outside = m.field("outside").to_numpy(False)
                 s = _matrix(m.field("sketch"))
-                equal = np.zeros((len(uids), len(uids)), np.int16)
+                rows = np.flatnonzero(outside)
+                equal = np.zeros((len(rows), len(uids)), np.int16)
                 for c in s.T:
-                    equal += c[:, None] == c[None, :]
-                a, b = np.nonzero((equal >= MIN_EQUAL) & (roots[:, None] != roots[None, :]) & (uids[:, None] < uids[None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(uids[a]), pa.array(uids[b])], names=["a", "b"])
+                    equal += c[rows, None] == c[None, :]
+                i, j = np.nonzero((equal >= MIN_EQUAL) & _apart(rows, uids, roots, outside))
+                a, b = uids[rows[i]], uids[j]
+                if len(a) > CROWDED * len(uids):
+                    columns = [pa.array([block], pa.int64()), *[pa.array([None], pa.int64())] * 2]
+                else:
+                    columns = [pa.array(np.full(len(a), block, np.int64)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "a", "b"])
+
+    return held.mapInArrow(run, "block bigint, a bigint, b bigint")
+
+
+def _apart(rows: np.ndarray, uids: np.ndarray, roots: np.ndarray, outside: np.ndarray) -> np.ndarray:
+    """Which pairs of one of ``rows`` and any member are of different roots; two outside count once."""
+    return (roots[rows, None] != roots[None, :]) & (~outside[None, :] | (uids[rows, None] < uids[None, :]))
+
+
+def joining_links(uids: np.ndarray, roots: np.ndarray, outside: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join the roots of a block as all of its similar pairs with an end outside do."""
+    rows, sizes = np.flatnonzero(outside), np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(counts > 1) - 1
+    taken = counts[which] > 1
+    owner, column = owner[taken], shared[which[taken]]
+    by = np.argsort(column, kind="stable")
+    owner, column = owner[by], column[by]
+    common = np.zeros((len(rows), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[part], column[part] - start] = 1
+        common += held[rows] @ held.T
+    common = common.astype(np.int64)
+    similar = 100 * common >= percent * (sizes[rows, None] + sizes[None, :] - common)
+    i, j = np.nonzero(similar & _apart(rows, uids, roots, outside))
+    if not len(i):
+        return []
+    ends = np.stack([roots[rows[i]], roots[j]])
+    _, one = np.unique(np.sort(ends, axis=0), axis=1, return_index=True)
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
 
-    return held.mapInArrow(run, "a bigint, b bigint")
+    out = []
+    for x, y, a, b in zip(*ends[:, one].tolist(), uids[rows[i[one]]].tolist(), uids[j[one]].tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((min(a, b), max(a, b)))
+    return out
+
+
+def _linked(blocks: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """a, b that join the components of each of ``blocks``, by the full shingle sets of all members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, sets = None, [], []
+
+        def settled() -> pa.RecordBatch:
+            uids, roots, outside = (np.array(c) for c in zip(*held))
+            found = joining_links(uids, roots, outside, sets, percent)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in sliced(batches, "text", 1_000_000):
+            with np.errstate(over="ignore"):
+                made = shingle_sets(batch.column("text").to_pylist())
+            for block, *member, one in zip(*(batch.column(c).to_pylist() for c in ("block", "uid", "root", "outside")), made):
+                if block != now and held:
+                    yield settled()
+                    held, sets = [], []
+                now = block
+                held.append(member)
+                sets.append(one)
+        if held:
+            yield settled()
+
+    rows = blocks.join(texts, "uid").select("block", "uid", "root", "outside", "text")
+    return settle(rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a bigint, b bigint"), "joining")
 
 
 def _mixed_nodes(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    """node, uid, size, root of the entries whose node holds more than one component."""
-    rooted = entries.join(roots, "uid", "left").select("node", "uid", "size", F.coalesce("root", "uid").alias("root"))
+    """node, uid, root, size, main (the largest component), outside (members of others) of nodes with several components."""
+    rooted = entries.join(_sent(roots), "uid", "left").select("node", "uid", F.coalesce("root", "uid").alias("root"))
     rooted = settle(rooted, "rooted")
-    open_nodes = rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("node")
-    return rooted.join(open_nodes, "node")
+    parts = rooted.groupBy("node", "root").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"))
+    sizes = sizes.select("node", "size", F.col("most.root").alias("main"), (F.col("size") - F.col("most.n")).alias("outside"))
+    return rooted.join(_sent(settle(sizes.filter("outside > 0"), "open-nodes")), "node")
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df, SENT_IDS) else df
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
-    """Every two blocks of a large node as a node of their own; blocks hold about half a small node."""
+    """block, uid, root, outside: every two blocks of a large node as a block of their own, about a small node in size."""
     blocks = F.ceil(F.col("size") * 2 / SMALL_NODE)
     own = F.pmod(F.xxhash64("uid"), blocks)
-    wide = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    wide = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     key = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return wide.select(key.alias("node"), "uid", "root").distinct()
+    return wide.select(key.alias("block"), "uid", "root", F.lit(True).alias("outside")).distinct()
 
 
 def links_between(stored: DataFrame, sketches: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
@@ -248,19 +366,24 @@ def links_in(entries: DataFrame, stored: DataFrame, sketches: DataFrame, percent
     stars = entries.filter("uid <> pivot").select(F.least("pivot", "uid").alias("a"), F.greatest("pivot", "uid").alias("b")).distinct()
     links = _verified(_likely(stars, sketches), stored, percent)
     roots = components(links)
-    candidates = None
+    entries, blocks = entries.select("node", "uid"), None
     for depth in range(1, depths + 1):
         nodes = settle(_mixed_nodes(entries, roots), "mixed")
-        large = nodes.filter(F.col("size") > SMALL_NODE)
-        small = nodes.filter(F.col("size") <= SMALL_NODE)
+        large = (F.col("size") > SMALL_NODE) & (F.col("outside") > APART * SMALL_NODE)
+        dealt = _dealt(nodes.filter(~large))
         if depth == depths:
-            small = small.select("node", "uid", "root").unionByName(_in_blocks(large))
-        found = _compared(small.select("node", "uid", "root"), sketches)
-        candidates = found if candidates is None else candidates.unionByName(found)
-        if depth == depths or large.isEmpty():
+            dealt = dealt.unionByName(_in_blocks(nodes.filter(large)))
+        blocks = dealt if blocks is None else blocks.unionByName(dealt)
+        if depth == depths or nodes.filter(large).isEmpty():
             break
-        entries = settle(_shared(_branched(large.select("node", "uid").join(sketches, "uid"))), "level")
-    return links.unionByName(_verified(candidates.distinct(), stored, percent))
+        entries = _branched(nodes.filter(large).select("node", "uid").join(sketches, "uid"))
+    blocks = settle(blocks, "blocks")
+    found = settle(_compared(blocks, sketches), "compared")
+    crowded = settle(found.filter("a is null").select("block"), "crowded")
+    crowd = settle(blocks.join(_sent(crowded), "block"), "crowd")
+    pairs = settle(found.filter("a is not null").select("a", "b").distinct(), "candidates")
+    texts = _texts(stored, pairs.select("a"), pairs.select("b"), crowd.select("uid"))
+    return links.unionByName(_similar(pairs, texts, percent)).unionByName(_linked(crowd, texts, percent))
 
 
 def near_duplicates(

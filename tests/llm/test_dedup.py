@@ -162,3 +162,48 @@ def test_short_lines_and_scripts_without_spaces(spark):
 @pytest.mark.parametrize("report", [near_duplicate_report, repeat_report])
 def test_empty_tables(spark, report):
     assert report(cases.frame(spark, [])).count() == 0
+
+
+def test_few_classes_beside_a_large_component_are_not_branched(spark, monkeypatch):
+    """A node of one large component and a few other texts is compared where it is, however large it is."""
+    rng = random.Random(3)
+    core = [f"c{i}" for i in range(80)]
+    rows = [" ".join(core[:k] + [f"n{k}"] + core[k + 1 :]) for k in range(20, 60)]
+    rows += [" ".join(core[:65] + [f"u{k}-{rng.random()}" for _ in range(15)]) for k in range(6)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    branched, branch = [], near_dedup._branched
+    monkeypatch.setattr(near_dedup, "_branched", lambda e, trees=0: branched.append(trees) or branch(e, trees))
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 8)
+    got = cases.plain(near_duplicate_report(df), "doc_id", "n_shingles", "component_id")
+    assert got == cases.in_order(cases.near_duplicates(pairs(df))) and branched == [near_dedup.TREES]
+
+
+def test_joining_links_equal_brute_force(monkeypatch):
+    """A crowded block gives a link for every two roots that its pairs join, and no more than members."""
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    core = rng.integers(0, 2**63, 40, np.uint64)
+    sets = []
+    for _ in range(60):
+        s = core.copy()
+        s[rng.choice(40, rng.integers(0, 9), replace=False)] = rng.integers(0, 2**63, 1, np.uint64)
+        sets.append(np.unique(s))
+    sets[5] = np.empty(0, np.uint64)
+    uids, roots = np.arange(60) + 100, np.repeat([1, 2, 100], [20, 3, 37]) + np.repeat([0, 0, 1], [20, 3, 37]) * np.arange(60)
+    outside = roots != 1
+
+    def joined(links):
+        group = dict(zip(uids.tolist(), roots.tolist()))
+        for a, b in links:
+            old, new = group[a], group[b]
+            group = {u: new if g == old else g for u, g in group.items()}
+        return [[v for v in group if group[v] == group[u]] for u in group]
+
+    every = []
+    for i in range(60):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both and 100 * both >= 75 * len(np.union1d(sets[i], sets[j])) and (outside[i] or outside[j]) and roots[i] != roots[j]:
+                every.append((100 + i, 100 + j))
+    got = near_dedup.joining_links(uids, roots, outside, sets, 75)
+    assert set(got) <= {(b, a) for a, b in every} and len(got) < 40 < len(every) and joined(got) == joined(every)
