@@ -207,3 +207,29 @@ def test_joining_links_equal_brute_force(monkeypatch):
                 every.append((100 + i, 100 + j))
     got = near_dedup.joining_links(uids, roots, outside, sets, 75)
     assert set(got) <= {(b, a) for a, b in every} and len(got) < 40 < len(every) and joined(got) == joined(every)
+
+
+@pytest.mark.parametrize("group", [1, 3])
+def test_crowded_groups_are_split_not_listed(spark, group):
+    """Many contexts of one key are split by halves of the places, and give the same spans."""
+    rng = random.Random(11)
+    line = " ".join(f"l{i}" for i in range(60)) + " "
+    text = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    shared = text(150) + line
+    rows = [text(260) + (shared if k % 3 else shared[150:]) + text(400) for k in range(24)]
+    rows += [text(5) + shared + line * 3 + text(20) for _ in range(4)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    kept = {}
+    halves = suffix_dedup._halves
+
+    def counted(parts, length):
+        made = halves(parts, length)
+        kept[len(kept)] = made.count()
+        return made
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(suffix_dedup, "_halves", counted)
+        got = suffix_dedup.remove_repeats(df, group=group).collect()
+    want = cases.in_order([w[:3] for w in cases.repeats(pairs(df))])
+    assert cases.in_order([(r["row"]["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"])) for r in got]) == want
+    assert kept and sum(w[2] for w in want) > 0
