@@ -396,7 +396,7 @@ def near_duplicates(
     repeat it. ``first`` is true of exactly one row of each component, one with the least id. Rows
     without id take part; a component of such rows only has a null id. An empty table stays empty.
     """
-    signed = map_texts(docs, text_col, _signatures, "n_shingles bigint, class binary, sketch binary")
+    signed = map_texts(docs, text_col, _signatures, "n_shingles bigint, class binary, sketch binary", 1_000_000)
     columns = [signed["row"], F.col(f"row.{_quoted(text_col)}").cast("string").alias("text"), F.col(f"row.{_quoted(id_col)}").alias("id")]
     stored = settle(signed.select(*columns, "n_shingles", "class", "sketch").withColumn("uid", F.monotonically_increasing_id()), "signed")
     sound = stored.filter("n_shingles > 0")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordertide.llm.rows import mixed, ranges, sliced
+from ordertide.llm.tokens import forget
 from ordertide.session import fits, settle
 
 ORDER = 5
@@ -47,6 +48,8 @@ STEPS = 1 << 30
 #: Distinct grams that a task holds before it passes them on.
 HELD_GRAMS = 400_000
 HELD_WORDS = 200_000
+#: Words whose scores a task remembers in all its models together.
+HELD_SCORES = 500_000
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 _SPACE = " \t\n\v\f\r"
@@ -123,6 +126,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     types = [pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held: dict[str, Counter] = {}
         grams: dict[str, dict[str, int]] = {}
 
@@ -280,8 +284,6 @@ class HashModel:
 
     def word_scores(self, words: set[str]) -> dict[str, float]:
         """Summed log probabilities of each word's grams, remembered between calls."""
-        if len(self.memory) > 500_000:
-            self.memory = {}
         todo = [w for w in words if w not in self.memory]
         if todo:
             codes, at, many = gram_windows(todo, self.order)
@@ -324,13 +326,19 @@ def scored(
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        models: dict[str, HashModel] = {}
         for batch in sliced(batches, "text", 1_000_000):
             langs, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             words = [words_of(t) for t in texts]
             need: dict[str, set] = {}
             for lang, found in zip(langs, words):
                 need.setdefault(lang, set()).update(found)
-            known = {lang: sent[lang].value.word_scores(found) for lang, found in need.items() if found and lang in sent}
+            models.update((lang, sent[lang].value) for lang in need if lang in sent and lang not in models)
+            if sum(len(m.memory) for m in models.values()) > HELD_SCORES:
+                for m in models.values():
+                    m.memory = {}
+            known = {lang: models[lang].word_scores(found) for lang, found in need.items() if found and lang in models}
             scores = []
             for lang, found in zip(langs, words):
                 if found and lang in known:

@@ -25,6 +25,11 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop this worker's encoders and what they remember, when it turns to an operator with a memory of its own."""
+    _encoders.clear()
+
+
 def default_tokenizer() -> str:
     """The public word-level BPE vocabulary; every operator takes the path as a parameter."""
     import public_tokenizers

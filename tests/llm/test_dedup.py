@@ -159,6 +159,16 @@ def test_short_lines_and_scripts_without_spaces(spark):
     assert {(r["doc_id"], r["place"]) for r in duplicate_paragraphs(df).collect() if r["removed"]} == {(1, 0), (3, 1)}
 
 
+def test_texts_are_cut_and_decoded_in_one_python_step(spark):
+    """A second step in the same task would keep a second Python worker with a memory of its own alive."""
+    twice = "\u00e9" * 300
+    df = spark.createDataFrame([(0, "a" + twice + "\u00fc x", 303), (1, "b " + twice + "\u00f6 y", 304), (2, None, 0)], "doc_id bigint, text string, n_chars bigint")
+    out = without_repeats(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+    assert {tuple(r) for r in out.collect()} == {(0, "a x", 3), (1, "b  y", 4), (2, None, 0)}
+
+
 @pytest.mark.parametrize("report", [near_duplicate_report, repeat_report])
 def test_empty_tables(spark, report):
     assert report(cases.frame(spark, [])).count() == 0

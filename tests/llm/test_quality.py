@@ -4,7 +4,7 @@ import random
 import pytest
 
 import cases
-from ordertide.llm import quality_rules
+from ordertide.llm import quality_rules, tokens
 from ordertide.llm.decontamination import WINDOW, build_index, clean_documents, contamination, search
 from ordertide.llm.quality_classifier import classify, fit_votes
 from ordertide.llm.quality_rules import END, HashModel, ORDER, START, kept_documents, kneser_ney, ngram_counts, quality, quality_report, word_grams
@@ -51,6 +51,22 @@ def test_models_too_large_to_send(spark, monkeypatch, limit):
     assert kept_documents(df).columns == df.columns
 
 
+def test_scores_remembered_by_all_models_together(spark, monkeypatch):
+    """Many languages hold no more words than one, and what is forgotten is scored again alike."""
+    rows = [(i, f"the words of language {i % 7} and text {i} of it", f"l{i % 7}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1)
+    want = cases.plain(quality_report(docs), "doc_id", "kept", "log_perplexity")
+    monkeypatch.setattr(quality_rules, "HELD_SCORES", 0)
+    monkeypatch.setattr(quality_rules, "sliced", lambda batches, *_: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    assert cases.plain(quality_report(docs), "doc_id", "kept", "log_perplexity") == want
+
+
+def test_encoders_are_forgotten():
+    tokens.encoder(tokens.default_tokenizer()).encode(["some words"])
+    tokens.forget()
+    assert not tokens._encoders
+
+
 def test_garbage_is_out_of_band(spark):
     rng = random.Random(2)
     words = ["the", "river", "runs", "under", "stone", "bridges", "towards", "green", "fields", "again", "slowly", "every", "morning"]
