@@ -66,6 +66,8 @@ def spaced(text: str) -> str:
 
 
 def _long_enough(text: str) -> bool:
+    if text.isascii():
+        return len(text.encode().split(None, MIN_WORDS - 1)) == MIN_WORDS
     return len(spaced(text).encode("utf-8", "surrogatepass").split(None, MIN_WORDS - 1)) == MIN_WORDS
 
 

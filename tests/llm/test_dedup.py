@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import cases
-from ordertide.llm import near_dedup, suffix_dedup
+from ordertide.llm import near_dedup, paragraph_dedup, suffix_dedup
 from ordertide.llm.components import components
 from ordertide.llm.near_dedup import near_duplicate_report, near_duplicates, without_near_duplicates
 from ordertide.llm.paragraph_dedup import duplicate_paragraphs, paragraph_report, passages
@@ -159,6 +159,27 @@ def test_short_lines_and_scripts_without_spaces(spark):
     assert {(r["doc_id"], r["place"]) for r in duplicate_paragraphs(df).collect() if r["removed"]} == {(1, 0), (3, 1)}
 
 
+def test_paragraph_tables_hold_places(spark, monkeypatch):
+    """Texts are written once; beside them only what meets is, and the tables of the lines go before the passages."""
+    written, removed = {}, []
+    settle, remove = paragraph_dedup.settle, paragraph_dedup.remove_scratch
+
+    def recorded(df, name="settled"):
+        out = settle(df, name)
+        written.setdefault(name, []).append((set(df.columns), out.count()))
+        return out
+
+    monkeypatch.setattr(paragraph_dedup, "settle", recorded)
+    monkeypatch.setattr(paragraph_dedup, "remove_scratch", lambda s, paths: removed.extend(paths) or remove(s, paths))
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [words, words + " more", *[" ".join(f"u{k}-{i}" for i in range(30)) for k in range(20)]]
+    got = {r["doc_id"]: r["n_removed"] for r in paragraph_report(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()}
+    assert got == {k: int(k == 1) for k in range(22)}
+    assert [name for name, made in written.items() if any("text" in columns for columns, _ in made)] == ["texts", "meeting-texts"]
+    assert len(written["texts"]) == 1 and [n for _, n in written["meeting-texts"]] == [2, 0]
+    assert sum("/paragraphs-" in x for x in removed) == 1 and not any("/lines-" in x or "/passages-" in x for x in removed)
+
+
 def test_texts_are_cut_and_decoded_in_one_python_step(spark):
     """A second step in the same task would keep a second Python worker with a memory of its own alive."""
     twice = "\u00e9" * 300
