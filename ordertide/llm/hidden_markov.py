@@ -258,27 +258,32 @@ class Abreast:
         """Expected starts, moves and emissions by scaled forward and backward recursions, and the log10 likelihood."""
         kind, states = np.float32, len(model.start)
         move, back = model.move.astype(kind), np.ascontiguousarray(model.move.T.astype(kind))
-        one = np.ones((states, 1), kind)
-        emit = model.emit.astype(kind)[self.symbols]
-        ahead, scale = np.empty_like(emit), np.empty((len(emit), 1), kind)
+        # The scale stands in every column, as equal shapes divide much faster.
+        one = np.ones((states, states), kind)
+        emit = np.take(model.emit.astype(kind), self.symbols, axis=0)
+        ahead, scale = np.empty_like(emit), np.empty_like(emit)
         a = np.broadcast_to(model.start.astype(kind), (len(self.order), states))
         for t, (first, last, n) in enumerate(self.blocks):
             a = np.matmul(a[:n], move) if t else a
             a = np.multiply(a, emit[first:last], out=ahead[first:last])
             a /= np.matmul(a, one, out=scale[first:last])
         emit /= scale
-        after = np.ones_like(emit)
+        fit = float(np.log10(scale[:, 0], dtype=np.float64).sum())
+        after = scale
+        after[:] = 1
         for (before, _, _), (first, last, n) in zip(self.blocks[-2::-1], self.blocks[:0:-1]):
             # What comes at and behind this position, given the state here; then given the state before.
             e = np.multiply(emit[first:last], after[first:last], out=emit[first:last])
             np.matmul(e, back, out=after[before : before + n])
         moves, n0 = np.zeros((states, states)), self.blocks[0][1]
         previous = np.arange(n0, len(emit)) - np.repeat(self.width[:-1], self.width[1:])
-        for k in range(0, len(previous), 100_000):
-            moves += ahead[previous[k : k + 100_000]].T.astype(np.float64) @ emit[n0 + k : n0 + k + 100_000]
+        for k in range(0, len(previous), 8192):
+            moves += ahead[previous[k : k + 8192]].T.astype(np.float64) @ emit[n0 + k : n0 + k + 8192]
         ahead *= after
-        emitted = np.stack([np.bincount(self.symbols, ahead[:, k], len(model.emit)) for k in range(states)], 1)
-        return ahead[:n0].sum(0, dtype=np.float64), model.move * moves, emitted, float(np.log10(scale, dtype=np.float64).sum())
+        symbols, emitted = self.symbols.astype(np.intp), np.empty((len(model.emit), states))
+        for k in range(states):
+            emitted[:, k] = np.bincount(symbols, ahead[:, k], len(model.emit))
+        return ahead[:n0].sum(0, dtype=np.float64), model.move * moves, emitted, fit
 
 
 def _abreast(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[list[pa.RecordBatch], Iterator[tuple[np.ndarray, Abreast]]]]:

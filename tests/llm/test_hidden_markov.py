@@ -142,3 +142,10 @@ def test_every_round_counts_all_training_texts(spark):
     m = H.trained(docs, known.share, states=2, start_rounds=1, rounds=1)
     whole = H.log_likelihoods(docs.where("not held_out"), H.random_model(known.share, 2)).agg(F.sum("fit")).head()[0]
     assert len(m.history) == 2 and math.isclose(m.history[0], whole, rel_tol=1e-4)
+
+
+def test_symbols_are_converted_once_for_all_states(monkeypatch):
+    kinds, inner = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a: kinds.append(x.dtype) or inner(x, *a))
+    H.Abreast(SEQUENCES).expected(model(3, 4, 1))
+    assert kinds == [np.dtype(np.intp)] * 3
