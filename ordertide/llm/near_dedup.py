@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.components import components
-from ordertide.llm.rows import map_texts, mixed, sliced, unpacked
+from ordertide.llm.rows import map_texts, mixed, ranges, sliced, unpacked
 from ordertide.session import fits, settle
 
 SHINGLE = 5
@@ -53,6 +53,8 @@ SMALL_NODE = 200
 APART, BLOCK = 2, 4
 #: Candidate pairs a class beyond which a block is crowded, and shingles that are compared at once there.
 CROWDED, COLUMNS = 2, 4096
+#: Members of blocks that are compared together with others, and pairs that are looked at together.
+TOGETHER, AT_ONCE = 64, 50_000
 #: Branchings of a path, after which a node still large is compared block by block.
 MAX_DEPTH = 24
 #: Ids that may be sent to all tasks to pick out the texts that pairs need; beyond that they are joined.
@@ -206,18 +208,26 @@ def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     return _similar(pairs, _texts(stored, pairs.select("a"), pairs.select("b")), percent)
 
 
+def alike_sets(x: list[np.ndarray], y: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Whether the sets of each pair of ``x`` and ``y`` are similar enough."""
+    n_x, n_y = np.array([len(v) for v in x], np.int64), np.array([len(v) for v in y], np.int64)
+    owner = np.concatenate([np.repeat(np.arange(len(x)), n_x), np.repeat(np.arange(len(y)), n_y)])
+    values = np.concatenate([*x, *y]) if x else np.empty(0, np.uint64)
+    by = np.lexsort((values, owner))
+    values, owner = values[by], owner[by]
+    both = owner[1:][(values[1:] == values[:-1]) & (owner[1:] == owner[:-1])]
+    common = np.bincount(both, minlength=len(x))
+    return 100 * common >= percent * (n_x + n_y - common)
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
+        for batch in sliced(batches, "text_a", 500_000):
             with np.errstate(over="ignore"):
-                for k in range(batch.num_rows):
-                    x, y = shingle_sets([batch.column(2)[k].as_py(), batch.column(3)[k].as_py()])
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                x, y = shingle_sets(batch.column(2).to_pylist()), shingle_sets(batch.column(3).to_pylist())
+            yield batch.select([0, 1]).filter(pa.array(alike_sets(x, y, percent), pa.bool_()))
 
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "similar")
 
@@ -237,29 +247,72 @@ def _compared(blocks: DataFrame, sketches: DataFrame) -> DataFrame:
     A crowded block has one row without pair instead.
     """
     held = blocks.join(sketches, "uid").groupBy("block").agg(F.collect_list(F.struct("uid", "root", "outside", "sketch")).alias("m"))
+    names = ["block", "a", "b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, members in zip(batch.column(0).to_pylist(), batch.column(1)):
-                m = members.values
-                uids, roots = m.field("uid").to_numpy(False), m.field("root").to_numpy(False)
-                outside = m.field("outside").to_numpy(False)
-                s = _matrix(m.field("sketch"))
-                rows = np.flatnonzero(outside)
-                equal = np.zeros((len(rows), len(uids)), np.int16)
-                for c in s.T:
-                    equal += c[rows, None] == c[None, :]
-                i, j = np.nonzero((equal >= MIN_EQUAL) & _apart(rows, uids, roots, outside))
-                a, b = uids[rows[i]], uids[j]
-                if len(a) > CROWDED * len(uids):
-                    columns = [pa.array([block], pa.int64()), *[pa.array([None], pa.int64())] * 2]
-                else:
-                    columns = [pa.array(np.full(len(a), block, np.int64)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "a", "b"])
+            if not batch.num_rows:
+                continue
+            blocks, m = batch.column(0).to_numpy(False), batch.column(1).flatten()
+            sizes = batch.column(1).value_lengths().to_numpy(False).astype(np.int64)
+            first = np.cumsum(sizes) - sizes
+            uids, roots, outside = m.field("uid").to_numpy(False), m.field("root").to_numpy(False), m.field("outside").to_numpy(False)
+            s = _matrix(m.field("sketch"))
+            few = sizes <= TOGETHER
+            for part in _portions(np.where(few, sizes * sizes, 0)):
+                at = part[few[part]]
+                i, j, k = alike(s, uids, roots, outside, first[at], sizes[at])
+                crowded = np.bincount(k, minlength=len(at)) > CROWDED * sizes[at]
+                taken = ~crowded[k]
+                a, b = uids[i[taken]], uids[j[taken]]
+                made = [(blocks[at[crowded]], None, None), (blocks[at[k[taken]]], np.minimum(a, b), np.maximum(a, b))]
+                for n in part[~few[part]].tolist():
+                    own = slice(first[n], first[n] + sizes[n])
+                    a, b = _alike_in(s[own], uids[own], roots[own], outside[own])
+                    if len(a) > CROWDED * sizes[n]:
+                        made.append((blocks[n : n + 1], None, None))
+                    else:
+                        made.append((np.full(len(a), blocks[n]), np.minimum(a, b), np.maximum(a, b)))
+                for block, a, b in made:
+                    if len(block):
+                        pair = [pa.nulls(len(block), pa.int64()) if x is None else pa.array(x) for x in (a, b)]
+                        yield pa.RecordBatch.from_arrays([pa.array(block), *pair], names=names)
 
     return held.mapInArrow(run, "block bigint, a bigint, b bigint")
 
 
+def _portions(pairs: np.ndarray) -> list[np.ndarray]:
+    """Numbers of blocks, one after another, dealt so that about ``AT_ONCE`` pairs are looked at together."""
+    part = (np.cumsum(pairs) - pairs) // AT_ONCE
+    return np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(part)) + 1)
+
+
+def alike(s: np.ndarray, uids: np.ndarray, roots: np.ndarray, outside: np.ndarray, first: np.ndarray, sizes: np.ndarray):
+    """Numbers of both members and of the block of each pair of different roots, one outside, that agrees often enough.
+
+    The blocks stand at ``first`` and have ``sizes`` members. All of their pairs are compared at once.
+    """
+    member = np.repeat(first, sizes) + ranges(sizes)
+    block = np.repeat(np.arange(len(sizes)), sizes)
+    rows, of = member[outside[member]], block[outside[member]]
+    i, k = np.repeat(rows, sizes[of]), np.repeat(of, sizes[of])
+    j = np.repeat(first[of], sizes[of]) + ranges(sizes[of])
+    taken = (roots[i] != roots[j]) & (~outside[j] | (uids[i] < uids[j]))
+    i, j, k = i[taken], j[taken], k[taken]
+    taken = (s[i] == s[j]).sum(axis=1) >= MIN_EQUAL
+    return i[taken], j[taken], k[taken]
+
+
+def _alike_in(s: np.ndarray, uids: np.ndarray, roots: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same pairs, by their uids, of one large block."""
+    rows = np.flatnonzero(outside)
+    equal = np.zeros((len(rows), len(uids)), np.int16)
+    for c in s.T:
+        equal += c[rows, None] == c[None, :]
+    i, j = np.nonzero((equal >= MIN_EQUAL) & _apart(rows, uids, roots, outside))
+    return uids[rows[i]], uids[j]
+
+
 def _apart(rows: np.ndarray, uids: np.ndarray, roots: np.ndarray, outside: np.ndarray) -> np.ndarray:
     """Which pairs of one of ``rows`` and any member are of different roots; two outside count once."""
     return (roots[rows, None] != roots[None, :]) & (~outside[None, :] | (uids[rows, None] < uids[None, :]))
@@ -355,28 +408,64 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     return wide.select(key.alias("block"), "uid", "root", F.lit(True).alias("outside")).distinct()
 
 
+def _rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """node, uid: the shingles by which two of ``texts`` (uid, text) meet if they are similar enough.
+
+    Of its n shingles a text may lack n - ceil(n * percent / 100) in a similar one. So two similar texts share one
+    of so many and one more that are rarest among all ``texts``, ties by their hash. Those that stand in one text
+    only come first and meet nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", 1_000_000):
+            with np.errstate(over="ignore"):
+                sets = shingle_sets(batch.column(1).to_pylist())
+            ends = pa.array(np.cumsum([0, *[len(x) for x in sets]]), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["uid", "shingles"])
+
+    sets = settle(texts.select("uid", "text").mapInArrow(run, "uid bigint, shingles array<bigint>"), "sets")
+    wide = sets.select("uid", F.size("shingles").alias("size"), F.explode("shingles").alias("node"))
+    several = settle(wide.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "several")
+    known = wide.join(_sent(several), "node").groupBy("uid", "size").agg(F.sort_array(F.collect_list(F.struct("n", "node"))).alias("known"))
+    taken = F.size("known") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+    some = known.withColumn("taken", taken).filter("taken > 0")
+    return some.select(F.explode(F.slice("known", F.lit(1), F.col("taken"))).alias("x"), "uid").select("x.node", "uid")
+
+
 def links_between(stored: DataFrame, sketches: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """(a, b) links that join the same components as all links between the classes do."""
     return links_in(_branched(sketches, trees), stored, sketches, percent, MAX_DEPTH)
 
 
 def links_in(entries: DataFrame, stored: DataFrame, sketches: DataFrame, percent: int, depths: int) -> DataFrame:
-    """The links within the nodes of ``entries`` (node, uid), which are branched ``depths`` - 1 times at most."""
+    """The links within the nodes of ``entries`` (node, uid), which are branched ``depths`` - 1 times at most.
+
+    Members of nodes still large then meet by their rarest shingles, which lets no similar pair pass.
+    """
     entries = settle(_shared(entries), "level-1")
     stars = entries.filter("uid <> pivot").select(F.least("pivot", "uid").alias("a"), F.greatest("pivot", "uid").alias("b")).distinct()
     links = _verified(_likely(stars, sketches), stored, percent)
     roots = components(links)
     entries, blocks = entries.select("node", "uid"), None
-    for depth in range(1, depths + 1):
+    for depth in range(1, depths + 2):
         nodes = settle(_mixed_nodes(entries, roots), "mixed")
         large = (F.col("size") > SMALL_NODE) & (F.col("outside") > APART * SMALL_NODE)
         dealt = _dealt(nodes.filter(~large))
-        if depth == depths:
+        if depth > depths:
             dealt = dealt.unionByName(_in_blocks(nodes.filter(large)))
         blocks = dealt if blocks is None else blocks.unionByName(dealt)
-        if depth == depths or nodes.filter(large).isEmpty():
+        if depth > depths or nodes.filter(large).isEmpty():
             break
-        entries = _branched(nodes.filter(large).select("node", "uid").join(sketches, "uid"))
+        if depth < depths:
+            entries = _branched(nodes.filter(large).select("node", "uid").join(sketches, "uid"))
+            continue
+        entries = settle(_shared(_rare_shingles(_texts(stored, nodes.filter(large).select("uid")), percent)), "level-rare")
+        stars = entries.filter("uid <> pivot").join(_sent(roots), "uid", "left").withColumn("own", F.coalesce("root", "uid")).drop("root")
+        stars = stars.join(_sent(roots.toDF("pivot", "root")), "pivot", "left").filter(F.coalesce("root", "pivot") != F.col("own"))
+        stars = stars.select(F.least("pivot", "uid").alias("a"), F.greatest("pivot", "uid").alias("b")).distinct()
+        links = links.unionByName(_verified(_likely(stars, sketches), stored, percent))
+        roots, entries = components(links), entries.select("node", "uid")
     blocks = settle(blocks, "blocks")
     found = settle(_compared(blocks, sketches), "compared")
     crowded = settle(found.filter("a is null").select("block"), "crowded")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.components import components
-from ordertide.llm.near_dedup import _BASE, _MINWISE, PERCENT, SENT_IDS, SHINGLE, links_in, shingle_sets, sketch, word_hashes
+from ordertide.llm.near_dedup import _BASE, _MINWISE, COORDINATES, PERCENT, SENT_IDS, SHINGLE, links_in, word_hashes
 from ordertide.llm.rows import mixed, ranges, sliced
 from ordertide.session import fits, recorded_scratch, remove_scratch, settle
 
@@ -46,7 +46,8 @@ FEW = 11
 LONG, NEAR = 40, 4
 
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
-_END = re.compile("[.!?\u2026\u0964\u061f]+[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]+|[\u3002\uff01\uff1f]+[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]*")
+#: It starts with one set of characters, for which Python's search skips ahead.
+_END = re.compile("[.!?\u2026\u0964\u061f\u3002\uff01\uff1f](?:(?<=[.!?\u2026\u0964\u061f])[.!?\u2026\u0964\u061f]*[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]+|(?<=[\u3002\uff01\uff1f])[\u3002\uff01\uff1f]*[\"')\\]\u00bb\u201d\u2019]*[ \\t\\v\\f\\r]*)")
 
 
 def band_keys(sketches: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -127,6 +128,13 @@ def _flat_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return values[new], np.bincount(owner[new], minlength=len(many))
 
 
+def _least(values: np.ndarray, sizes: np.ndarray, coordinates: int) -> np.ndarray:
+    """The first ``coordinates`` of the sketch of each set, of so many ``values`` each; none is empty."""
+    at = np.cumsum(sizes) - sizes
+    least = [np.minimum.reduceat(values * _MINWISE[c], at) >> np.uint64(32) for c in range(coordinates)]
+    return np.stack(least, axis=1).astype("<u4")
+
+
 def signatures(texts: list[str], percent: int = PERCENT) -> tuple[list[bytes], pa.ListArray]:
     """The class of each text of ``MIN_WORDS`` words or more, and the keys under which it meets similar ones."""
     with np.errstate(over="ignore"):
@@ -137,8 +145,7 @@ def signatures(texts: list[str], percent: int = PERCENT) -> tuple[list[bytes], p
         bands = np.empty((len(sizes), BANDS), np.uint64)
         if len(banded):
             held, n = values[np.repeat(first[banded], sizes[banded]) + ranges(sizes[banded])], sizes[banded]
-            least = [np.minimum.reduceat(held * _MINWISE[c], np.cumsum(n) - n) >> np.uint64(32) for c in range(BANDS * ROWS)]
-            bands[banded] = band_keys(np.stack(least, axis=1).astype("<u4"))
+            bands[banded] = band_keys(_least(held, n, BANDS * ROWS))
         made, counts = [], np.zeros(len(sizes), np.int64)
         for n in np.unique(sizes).tolist():
             which, columns = np.flatnonzero(sizes == n), []
@@ -228,7 +235,8 @@ def clustered(units: DataFrame, texts: DataFrame, percent: int, *order: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 1_000_000):
             with np.errstate(over="ignore"):
-                made = [sketch(s).tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
+                values, sizes = _flat_sets(batch.column(1).to_pylist())
+                made = [x.tobytes() for x in _least(values, sizes, COORDINATES)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["uid", "sketch"])
 
     words = F.regexp_replace("text", _UNSPACED.pattern, " $1 ")

@@ -264,3 +264,58 @@ def test_crowded_groups_are_split_not_listed(spark, group):
     want = cases.in_order([w[:3] for w in cases.repeats(pairs(df))])
     assert cases.in_order([(r["row"]["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"])) for r in got]) == want
     assert kept and sum(w[2] for w in want) > 0
+
+
+def test_large_nodes_meet_by_rare_shingles(spark, monkeypatch):
+    """Texts of one node that are all too far apart are not compared block by block, and similar ones still meet."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 8)
+    core = [f"c{i}" for i in range(30)]
+    texts = [" ".join(core + [f"u{k}-{i}" for i in range(30)]) for k in range(60)]
+    texts += [t + " more" for t in texts[:20]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "uid bigint, text string")
+    with np.errstate(over="ignore"):
+        sets = near_dedup.shingle_sets(texts)
+        sketches = spark.createDataFrame([(k, near_dedup.sketch(s).tobytes()) for k, s in enumerate(sets)], "uid bigint, sketch binary")
+    blocks, inner = [], near_dedup._in_blocks
+    monkeypatch.setattr(near_dedup, "_in_blocks", lambda large: blocks.append(large.count()) or inner(large))
+    one = frame.selectExpr("7L AS node", "uid")
+    links = {(r["a"], r["b"]) for r in near_dedup.links_in(one, frame, sketches, 75, 1).collect()}
+    assert links == {(k, 60 + k) for k in range(20)} and sum(blocks) == 0
+
+
+def test_rare_shingles_bring_all_similar_texts_together(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(30):
+        words = [f"w{rng.randrange(9)}" for _ in range(rng.randint(5, 60))]
+        for _ in range(4):
+            texts.append(" ".join(words))
+            words[rng.randrange(len(words))] = f"w{rng.randrange(9)}"
+    frame = spark.createDataFrame(list(enumerate(texts)), "uid bigint, text string")
+    nodes: dict = {}
+    for r in near_dedup._rare_shingles(frame, 75).collect():
+        nodes.setdefault(r["uid"], set()).add(r["node"])
+    with np.errstate(over="ignore"):
+        sets = [set(s.tolist()) for s in near_dedup.shingle_sets(texts)]
+    similar = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert len(similar) > 20 and all(nodes[i] & nodes[j] for i, j in similar)
+
+
+def test_small_blocks_and_pairs_are_compared_together():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 20, 40)
+    n, first = int(sizes.sum()), np.cumsum(sizes) - sizes
+    s, uids, roots, outside = rng.integers(0, 2, (n, 64)), rng.permutation(n), rng.integers(0, 50, n), rng.random(n) < 0.5
+    i, j, k = near_dedup.alike(s, uids, roots, outside, first, sizes)
+    got = sorted(zip(k.tolist(), np.minimum(uids[i], uids[j]).tolist(), np.maximum(uids[i], uids[j]).tolist()))
+    want = []
+    for block, (x, size) in enumerate(zip(first.tolist(), sizes.tolist())):
+        for p in range(x, x + size):
+            for q in range(x, p):
+                if roots[p] != roots[q] and (outside[p] or outside[q]) and (s[p] == s[q]).sum() >= near_dedup.MIN_EQUAL:
+                    want.append((block, min(uids[p], uids[q]), max(uids[p], uids[q])))
+    assert got == sorted(want) and len(got) > 100
+    sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30)).astype(np.uint64)) for _ in range(400)]
+    similar = lambda a, b: 100 * len(set(a) & set(b)) >= 30 * len(set(a) | set(b))
+    pairs = list(zip((x.tolist() for x in sets[:200]), (y.tolist() for y in sets[200:])))
+    assert near_dedup.alike_sets(sets[:200], sets[200:], 30).tolist() == [similar(a, b) for a, b in pairs]
