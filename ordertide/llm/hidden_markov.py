@@ -258,18 +258,17 @@ class Abreast:
         """Expected starts, moves and emissions by scaled forward and backward recursions, and the log10 likelihood."""
         kind, states = np.float32, len(model.start)
         move, back = model.move.astype(kind), np.ascontiguousarray(model.move.T.astype(kind))
-        # The scale stands in every column, as equal shapes divide much faster.
-        one = np.ones((states, states), kind)
+        # The scale is written out to every column, as equal shapes divide much faster.
+        one, wide = np.ones((states, 1), kind), np.ones((1, states), kind)
         emit = np.take(model.emit.astype(kind), self.symbols, axis=0)
-        ahead, scale = np.empty_like(emit), np.empty_like(emit)
+        ahead, scales, scale = np.empty_like(emit), np.empty_like(emit), np.empty((len(emit), 1), kind)
         a = np.broadcast_to(model.start.astype(kind), (len(self.order), states))
         for t, (first, last, n) in enumerate(self.blocks):
             a = np.matmul(a[:n], move) if t else a
             a = np.multiply(a, emit[first:last], out=ahead[first:last])
-            a /= np.matmul(a, one, out=scale[first:last])
-        emit /= scale
-        fit = float(np.log10(scale[:, 0], dtype=np.float64).sum())
-        after = scale
+            a /= np.matmul(np.matmul(a, one, out=scale[first:last]), wide, out=scales[first:last])
+        emit /= scales
+        after = scales
         after[:] = 1
         for (before, _, _), (first, last, n) in zip(self.blocks[-2::-1], self.blocks[:0:-1]):
             # What comes at and behind this position, given the state here; then given the state before.
@@ -283,7 +282,7 @@ class Abreast:
         symbols, emitted = self.symbols.astype(np.intp), np.empty((len(model.emit), states))
         for k in range(states):
             emitted[:, k] = np.bincount(symbols, ahead[:, k], len(model.emit))
-        return ahead[:n0].sum(0, dtype=np.float64), model.move * moves, emitted, fit
+        return ahead[:n0].sum(0, dtype=np.float64), model.move * moves, emitted, float(np.log10(scale, dtype=np.float64).sum())
 
 
 def _abreast(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[list[pa.RecordBatch], Iterator[tuple[np.ndarray, Abreast]]]]:
